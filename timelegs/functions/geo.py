@@ -19,14 +19,18 @@ WIDEST_BAND = "2.00 km or more"
 ZERO_BAND = "Zero"
 MISSING_BAND = "Missing"
 
+# Plain decimal notation; the cast alone would also take Java suffixes such as ``1d``.
+DECIMAL_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
 LATITUDE_LIMIT = 90.0
 LONGITUDE_LIMIT = 180.0
 
 
 def valid_coordinate(text: Column | str, limit: float) -> Column:
-    """The number in ``text`` when it lies within ±limit, else NULL (NaN included)."""
-    number = F.trim(col(text).cast("string")).try_cast("double")
-    return F.when(number.between(-limit, limit), number)
+    """The number in ``text`` when it lies within ±limit, else NULL."""
+    trimmed = F.trim(col(text).cast("string"))
+    number = trimmed.try_cast("double")
+    return F.when(trimmed.rlike(DECIMAL_NUMBER) & number.between(-limit, limit), number)
 
 
 def has_both(latitude: Column | str, longitude: Column | str) -> Column:
