@@ -39,28 +39,23 @@ def _centre_measures():
 
 
 def distinct_counts(segments: DataFrame) -> DataFrame:
-    """Distinct lines, segments and journeys; a journey with a NULL part is not counted."""
-    count = F.count(F.lit(1)).alias("n")
-    keys = {
-        "unique_service_lines": ["line_ref"],
-        "unique_segments": ["segment_key"],
-        "unique_vehicle_journeys": ["source_file", "vehicle_journey_code"],
-    }
-    counted = {
-        name: segments.dropna(how="any", subset=c).select(*c).distinct().agg(count).scalar()
-        for name, c in keys.items()
-    }
-    return segments.agg(F.count(F.lit(1)).alias("record_count")).withColumns(counted)
+    """Rows and distinct lines, segments and journeys; a journey with a NULL part is not counted."""
+    return segments.agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.count_distinct("line_ref").alias("unique_service_lines"),
+        F.count_distinct("segment_key").alias("unique_segments"),
+        F.count_distinct("source_file", "vehicle_journey_code").alias("unique_vehicle_journeys"),
+    )
 
 
 def overall_statistics(segments: DataFrame) -> DataFrame:
     """One row of 17 measures.
 
-    The distinct counts are scalar subqueries of their own: each shuffles only its
-    partially aggregated keys, and the other measures keep a single partial/final pass.
+    The distinct counts are an aggregate of their own. Together with the quantile sketches
+    they would force one sketch per distinct key.
     """
     v = "runtime_minutes"
-    counts = distinct_counts(segments)
+    counts = distinct_counts(segments).drop("record_count")
     measured = segments.agg(
         F.count(F.lit(1)).alias("record_count"),
         _mean(v).alias("mean_runtime_minutes"),
@@ -76,12 +71,8 @@ def overall_statistics(segments: DataFrame) -> DataFrame:
         F.max(v).alias("maximum_runtime_minutes"),
         *_flag_measures(),
     )
-    return measured.withColumns(
-        {
-            name: counts.select(name).scalar()
-            for name in ("unique_service_lines", "unique_segments", "unique_vehicle_journeys")
-        }
-    )
+    both = measured.withColumn("_counts", counts.select(F.struct("*")).scalar())
+    return both.select(*measured.columns, "_counts.*")
 
 
 def runtime_distribution(segments: DataFrame) -> DataFrame:
@@ -114,8 +105,9 @@ def peak_summary(segments: DataFrame) -> DataFrame:
 def route_summary(segments: DataFrame) -> DataFrame:
     """Eleven measures per line, largest line first.
 
-    Distinct counts come from pre-aggregated keys: rows are first reduced to (line, key),
-    so a line with a third of all rows is spread over the tasks by its keys.
+    Distinct keys are counted apart from the sketches, as in the overall statistics. Rows
+    are first reduced to (line, key), so a line with a third of all rows is spread over the
+    tasks by its keys.
     """
     per_line = segments.groupBy("line_ref").agg(
         *_centre_measures(),
@@ -123,25 +115,12 @@ def route_summary(segments: DataFrame) -> DataFrame:
         F.max("runtime_minutes").alias("maximum_runtime_minutes"),
         *_flag_measures(),
     )
-    segment_counts = _keys_per_line(segments, ["segment_key"], "unique_segments")
-    journey_counts = _keys_per_line(
-        segments, ["source_file", "vehicle_journey_code"], "unique_vehicle_journeys"
+    keys = segments.groupBy(F.col("line_ref").alias("_line")).agg(
+        F.count_distinct("segment_key").alias("unique_segments"),
+        F.count_distinct("source_file", "vehicle_journey_code").alias("unique_vehicle_journeys"),
     )
-    joined = per_line
-    for counts in (segment_counts, journey_counts):
-        name = counts.columns[-1]
-        counts = counts.withColumnRenamed("line_ref", "_line")
-        joined = (
-            joined.join(counts, F.col("line_ref").eqNullSafe(F.col("_line")), "left")
-            .drop("_line")
-            .withColumn(name, F.coalesce(name, F.lit(0)))
-        )
-    return joined.orderBy(F.col("record_count").desc(), "line_ref")
-
-
-def _keys_per_line(segments: DataFrame, keys: list[str], name: str) -> DataFrame:
-    unique = segments.dropna(how="any", subset=keys).select("line_ref", *keys).distinct()
-    return unique.groupBy("line_ref").agg(F.count(F.lit(1)).alias(name))
+    joined = per_line.join(keys, F.col("line_ref").eqNullSafe(F.col("_line")))
+    return joined.drop("_line").orderBy(F.col("record_count").desc(), "line_ref")
 
 
 def high_duration_routes(segments: DataFrame, min_records: int = MIN_ROUTE_RECORDS) -> DataFrame:

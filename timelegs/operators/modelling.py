@@ -43,6 +43,10 @@ TOP_ANOMALIES = 100
 RESIDUAL_SAMPLE_FRACTION = 0.20
 RESIDUAL_SAMPLE_ROWS = 20_000
 
+# Stands for an unknown number, such as the hour of an unreadable departure time. It lies
+# outside every feature's range; the linear learner accepts no NaN.
+GAP_VALUE = -1.0
+
 WITHIN = "Within expected range"
 LONGER = "Longer than expected"
 SHORTER = "Shorter than expected"
@@ -194,7 +198,8 @@ def prepare(enriched: DataFrame) -> PreparedData:
     needed = {*CATEGORICAL_FEATURES, *NUMERIC_FEATURES, *PREDICTION_IDENTIFIERS}
     require_columns(enriched, sorted(needed), "enriched segments")
     columns = list(dict.fromkeys([*PREDICTION_IDENTIFIERS, *sorted(needed), "label"]))
-    rows = keep_for_reuse(fixed_layout(modelling_rows(enriched).select(*columns)))
+    known = modelling_rows(enriched).select(*columns).fillna(GAP_VALUE, NUMERIC_FEATURES)
+    rows = keep_for_reuse(fixed_layout(known))
     train, test = split_rows(rows)
     require_no_leakage(train, test)
     encoder = feature_stages().fit(train)
