@@ -499,8 +499,9 @@ def metric_pivot(net):
 def csv_round_trip(net):
     """Unique raw rows written as CSV text and read back under the explicit layout."""
     unique = net.raw.distinct()
-    line = F.to_csv(F.struct(*unique.columns)).alias("line")
-    back = F.from_csv("line", RAW_SEGMENTS.simpleString()[len("struct<") : -1].replace(":", " ")).alias("r")
+    line = F.to_csv(F.struct(*unique.columns), sinks.CSV_OPTIONS).alias("line")
+    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_SEGMENTS.fields)
+    back = F.from_csv("line", layout).alias("r")
     return unique.select(line).select(back).select("r.*")
 
 

@@ -8,7 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
-RAW_SEGMENTS = StructType.fromDDL(
+
+
+def _layout(columns: str) -> StructType:
+    """A flat layout from ``name type, …``; needs no running session."""
+    layout = StructType()
+    for column in columns.split(","):
+        name, kind = column.split()
+        layout.add(name, {"int": "integer"}.get(kind, kind))
+    return layout
+
+
+RAW_SEGMENTS = _layout(
     """
     source_file string, vehicle_journey_code string, service_ref string,
     line_ref string, journey_pattern_ref string, departure_time string,
@@ -19,14 +30,14 @@ RAW_SEGMENTS = StructType.fromDDL(
     """
 )
 
-CLEANED_EXTRA = StructType.fromDDL(
+CLEANED_EXTRA = _layout(
     """
     departure_hour int, is_peak_hour int, time_of_day string,
     segment_key string, is_iqr_high_duration int
     """
 )
 
-STOPS = StructType.fromDDL(
+STOPS = _layout(
     """
     stop_ref string, timetable_common_name string, naptan_common_name string,
     locality_name string, town string, latitude double, longitude double,
@@ -35,14 +46,14 @@ STOPS = StructType.fromDDL(
     """
 )
 
-STOP_CATALOGUE = StructType.fromDDL(
+STOP_CATALOGUE = _layout(
     """
     stop_ref string, common_name string, locality_name string, latitude string,
     longitude string, has_coordinates string, source_type string, source_file string
     """
 )
 
-MODEL_RESULTS = StructType.fromDDL(
+MODEL_RESULTS = _layout(
     """
     rank_by_rmse int, model_name string, configuration string, training_records long,
     testing_records long, rmse double, mae double, r2 double,
@@ -50,7 +61,7 @@ MODEL_RESULTS = StructType.fromDDL(
     """
 )
 
-METRIC_VALUE = StructType.fromDDL("metric string, value string")
+METRIC_VALUE = _layout("metric string, value string")
 
 # Fields a segment must carry to be analysed at all.
 REQUIRED_TEXT = [

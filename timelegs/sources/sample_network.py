@@ -58,7 +58,7 @@ class SampleNetwork:
             F.col("l_quantity") >= 49, 4
         ).otherwise(1)
         return (
-            self._spread(self.table("lineitem"))
+            self._spread(self.table("lineitem"), "l_orderkey", "l_linenumber")
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
             .withColumns(
                 {
@@ -70,13 +70,13 @@ class SampleNetwork:
             )
         )
 
-    def _spread(self, df: DataFrame) -> DataFrame:
+    def _spread(self, df: DataFrame, *keys: str) -> DataFrame:
         """A small file read as fewer partitions than there are cores is spread over them.
 
         A table of many files is left as it is scanned.
         """
         cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
     @staticmethod
     def _defect(quantity: int) -> Column:

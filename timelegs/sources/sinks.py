@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from timelegs.operators.serving import without_coordinates
 
 
+# Without these the writer trims its text, and a blank value would come back as NULL.
+CSV_OPTIONS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 class WriteError(RuntimeError):
     """What was written is not what was meant to be written."""
 
@@ -39,7 +43,7 @@ def write_parquet(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**CSV_OPTIONS).csv(path)
 
 
 def as_metrics(record: DataFrame) -> DataFrame:
