@@ -60,16 +60,13 @@ def match_stops(spark: SparkSession, register_path: str, out: Layout) -> DataFra
 
 
 def clean(spark: SparkSession, raw: DataFrame, out: Layout) -> DataFrame:
-    """Raw to cleaned segments.
+    """Raw to cleaned segments, in one job and one write.
 
-    The rows are shuffled once, for de-duplication, and written; the fence then reads one
-    column of that table, and the flag is added as the final table is written.
+    The rows are shuffled once, for de-duplication. The fence is a scalar subquery over the
+    same exchange, which Spark reuses, so it costs a second read of the shuffle files and
+    neither a second scan nor a staged table.
     """
-    staged = out.at("segments_unflagged")
-    sinks.write_parquet(cleaning.clean_segments(raw), staged)
-    segments = spark.read.parquet(staged)
-    flagged = cleaning.flag_high_durations(segments, cleaning.iqr_fence(segments))
-    sinks.write_parquet(flagged, out.at("segments_cleaned"))
+    sinks.write_parquet(cleaning.cleaned_and_flagged(raw), out.at("segments_cleaned"))
     return tables.read_parquet(spark, out.at("segments_cleaned"))
 
 
