@@ -27,10 +27,13 @@ class Layout:
 
 def extract(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
     """Documents to raw segments."""
-    journeys = journeys_xml.read_documents(spark, xml_path, "VehicleJourney")
-    links = journeys_xml.read_documents(spark, xml_path, "JourneyPatternTimingLink")
-    raw = shredding.extract_segments(journeys, links)
-    sinks.write_parquet(raw, out.at("raw_segments"))
+    bad = journeys_xml.unreadable_files(spark, xml_path).persist()
+    try:
+        journeys = journeys_xml.read_documents(spark, xml_path, "VehicleJourney", bad)
+        links = journeys_xml.read_documents(spark, xml_path, "JourneyPatternTimingLink", bad)
+        sinks.write_parquet(shredding.extract_segments(journeys, links), out.at("raw_segments"))
+    finally:
+        bad.unpersist()
     return tables.read_parquet(spark, out.at("raw_segments"))
 
 
@@ -38,10 +41,10 @@ def extract_stop_catalogue(spark: SparkSession, xml_path: str, out: Layout) -> D
     """Documents to one record per stop. Ties go to the earlier file, and within a file to
     the referenced stop before the locally defined one."""
     annotated = shredding.annotated_stop_records(
-        journeys_xml.read_documents(spark, xml_path, "AnnotatedStopPointRef")
+        journeys_xml.read_partial_documents(spark, xml_path, "AnnotatedStopPointRef")
     )
     local = shredding.local_stop_records(
-        journeys_xml.read_documents(spark, xml_path, "StopPoint")
+        journeys_xml.read_partial_documents(spark, xml_path, "StopPoint")
     )
     records = stops.combine_stop_records(annotated, local)
     catalogue = stops.best_stop_records(

@@ -1,8 +1,8 @@
 """Journey documents (XML) as DataFrames, one reader per element.
 
 Each reader streams one element type out of every file below a directory, in any
-default namespace. A file that breaks off before its end counts as unreadable, and none
-of its rows are used.
+namespace. A file that breaks off before its end counts as unreadable: no segments are
+taken from it, while the stops that stand before the break are.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from timelegs.operators.joins import lookup_join
 
 CORRUPT = "_corrupt_record"
+ROOT = "TransXChange"
 
 _END = "struct<_SequenceNumber:string,Activity:string,StopPointRef:string,TimingStatus:string>"
 _POSITION = "Latitude:string,Longitude:string"
@@ -51,10 +52,8 @@ def file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def read_element(spark: SparkSession, path: str, element: str) -> DataFrame:
-    """Every ``element`` below ``path`` with source_file, position and the corrupt-row text."""
-    schema = layout(element).add(CORRUPT, "string")
-    rows = (
+def _read(spark: SparkSession, path: str, element: str, schema: StructType) -> DataFrame:
+    return (
         spark.read.format("xml")
         .option("rowTag", element)
         .option("mode", "PERMISSIVE")
@@ -62,10 +61,14 @@ def read_element(spark: SparkSession, path: str, element: str) -> DataFrame:
         .option("ignoreNamespace", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.xml")
-        .schema(schema)
+        .schema(schema.add(CORRUPT, "string"))
         .load(path)
     )
-    return rows.select(
+
+
+def read_element(spark: SparkSession, path: str, element: str) -> DataFrame:
+    """Every ``element`` below ``path`` with source_file, position and the corrupt-row text."""
+    return _read(spark, path, element, layout(element)).select(
         file_name().alias("source_file"),
         F.struct(
             F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("row")
@@ -74,39 +77,50 @@ def read_element(spark: SparkSession, path: str, element: str) -> DataFrame:
     )
 
 
-def unreadable_files(rows: DataFrame) -> DataFrame:
-    """Names of the files that hold a corrupt row, each once.
+def unreadable_files(spark: SparkSession, path: str, root: str = ROOT) -> DataFrame:
+    """Paths of the files whose root element is not well formed to its end, each once.
 
-    The reader refuses a query over the corrupt column alone, so a data column takes
-    part in the aggregate.
+    Only the root's own attributes are kept, so a file passes through its task as a stream.
+    The reader refuses a query over the corrupt column alone, hence the second count.
     """
-    data_column = next(c for c in rows.columns if c not in ("source_file", "position", CORRUPT))
-    return (
-        rows.groupBy("source_file")
-        .agg(
-            F.count_if(F.col(CORRUPT).isNotNull()).alias("_corrupt"),
-            F.count(F.col(data_column)).alias("_parsed"),
-        )
-        .filter((F.col("_corrupt") > 0) & (F.col("_parsed") >= 0))
-        .select("source_file")
+    documents = _read(spark, path, root, StructType().add("_id", "string"))
+    per_file = documents.groupBy(F.col("_metadata.file_path").alias("bad_path")).agg(
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("_corrupt"),
+        F.count("_id").alias("_with_id"),
     )
+    broken = per_file.filter((F.col("_corrupt") > 0) & (F.col("_with_id") >= 0))
+    return broken.select("bad_path")
 
 
-def readable_rows(rows: DataFrame, bad_files: DataFrame | None = None) -> DataFrame:
-    """Rows of the files that were read to their end.
+def complete_rows(rows: DataFrame) -> DataFrame:
+    """Elements that were read whole, also those before the break of a broken file.
 
-    The list of bad files is reduced by a map-side aggregate and counted before it is
-    broadcast; no task ever holds the rows of a whole file.
+    The second condition always holds. It names a data column, since the reader refuses a
+    query over the corrupt column alone.
     """
-    bad = (unreadable_files(rows) if bad_files is None else bad_files).withColumnRenamed(
-        "source_file", "_bad_file"
-    )
-    return lookup_join(rows, bad, {"source_file": "_bad_file"}, "left_anti").drop(CORRUPT)
+    data = next(c for c in rows.columns if c not in ("source_file", "position", CORRUPT))
+    whole = F.col(CORRUPT).isNull() & (F.size(F.array(data)) == 1)
+    return rows.filter(whole).drop(CORRUPT)
+
+
+def read_documents(
+    spark: SparkSession, path: str, element: str, bad_files: DataFrame | None = None
+) -> DataFrame:
+    """Every ``element`` of every readable file below ``path``.
+
+    The list of bad files comes from a map-side aggregate and is counted before it is
+    broadcast; no task ever holds the rows of a whole file. Pass it in when several
+    elements are read from one folder.
+    """
+    bad = unreadable_files(spark, path) if bad_files is None else bad_files
+    rows = complete_rows(read_element(spark, path, element))
+    rows = rows.withColumn("_path", F.col("position.path"))
+    return lookup_join(rows, bad, {"_path": "bad_path"}, "left_anti").drop("_path")
 
 
-def read_documents(spark: SparkSession, path: str, element: str) -> DataFrame:
-    """Every ``element`` of every readable file below ``path``."""
-    return readable_rows(read_element(spark, path, element))
+def read_partial_documents(spark: SparkSession, path: str, element: str) -> DataFrame:
+    """Every whole ``element`` below ``path``, also from files that break off later."""
+    return complete_rows(read_element(spark, path, element))
 
 
 def parse_documents(documents: DataFrame, column: str, ddl: str) -> DataFrame:
