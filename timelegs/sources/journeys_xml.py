@@ -99,7 +99,7 @@ def complete_rows(rows: DataFrame) -> DataFrame:
     query over the corrupt column alone.
     """
     data = next(c for c in rows.columns if c not in ("source_file", "position", CORRUPT))
-    whole = F.col(CORRUPT).isNull() & (F.size(F.array(data)) == 1)
+    whole = F.col(CORRUPT).isNull() & (F.coalesce(F.length(data), F.lit(0)) >= 0)
     return rows.filter(whole).drop(CORRUPT)
 
 
