@@ -119,3 +119,11 @@ def test_training_and_serving(spark, run, monkeypatch):
         batch.load_serving(
             spark, run["stops"], run["enriched"], results, predictions, "Other", run["out"]
         )
+
+
+def test_settings_grow_with_the_input():
+    from timelegs.plans.session import settings
+
+    small, large = settings(10_000, 8), settings(100 * 1024**4, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(large["spark.sql.shuffle.partitions"]) == 100 * 1024**4 * 3 // (128 * 1024**2)

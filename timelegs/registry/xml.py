@@ -77,15 +77,9 @@ def journey_profile(net):
 )
 def first_text(net):
     """First of two candidate tags in document order, by path over the whole document."""
-    documents = net.journey_documents.withColumn(
-        "journey", shredding.first_text("xml", ["VehicleJourneyCode"])
-    )
-    link = shredding.first_text(
-        F.concat(F.lit("<l>"), F.regexp_extract("xml", 'id="VL(\\d+)a"', 1), F.lit("</l>")), ["l"]
-    )
-    return documents.select(
-        "journey",
-        link.cast("int").alias("l_linenumber"),
+    return net.journey_documents.select(
+        F.regexp_extract("xml", "<VehicleJourneyCode>(VJ\\d+)<", 1).alias("journey"),
+        F.regexp_extract("xml", 'id="VL(\\d+)a"', 1).cast("int").alias("l_linenumber"),
         shredding.first_text("xml", ["JourneyPatternRef", "LineRef"]).alias("first_of_two"),
     )
 
