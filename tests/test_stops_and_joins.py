@@ -102,15 +102,24 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_and_broadcast_joins_agree_with_a_plain_one(spark, how):
+def test_split_and_broadcast_joins_agree_with_a_plain_one(spark, how):
     fact, lookup = sides(spark)
     plain = fact.join(lookup, fact["k"] == lookup["key"], how).drop("key")
     broadcast = joins.lookup_join(fact, lookup, {"k": "key"}, how)
     shuffled = joins.lookup_join(fact, lookup, {"k": "key"}, how, row_limit=5)
+    uneven = joins.hot_key_join(fact, lookup, {"k": "key"}, how, share=4, splits=5)
     key = lambda r: tuple(-1 if v is None else v for v in r)
     expected = sorted(map(key, plain.collect()))
-    assert sorted(map(key, broadcast.collect())) == expected
-    assert sorted(map(key, shuffled.collect())) == expected
+    for df in (broadcast, shuffled, uneven):
+        assert df.columns == plain.columns
+        assert sorted(map(key, df.collect())) == expected
+
+
+def test_null_keys_stay_unmatched(spark):
+    fact = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
+    lookup = spark.createDataFrame([(1, "a"), (None, "b")], "key int, name string")
+    found = joins.hot_key_join(fact, lookup, {"k": "key"}, share=2)
+    assert sorted((r["v"], r["name"]) for r in found.collect()) == [(1, None), (2, None), (3, "a")]
 
 
 def test_size_decides_the_join(spark):
@@ -119,14 +128,22 @@ def test_size_decides_the_join(spark):
     small = joins.lookup_join(fact, lookup, {"k": "key"})
     assert inspect.uses_broadcast_join(small) and inspect.exchanges(small) == 0
     large = joins.lookup_join(fact, lookup, {"k": "key"}, row_limit=5)
-    assert "_salt" in inspect.plan_text(large, "extended")
+    assert "_lookup_split" in inspect.plan_text(large, "extended")
 
 
-def test_salt_spreads_a_hot_key_the_same_way_each_time(spark):
-    fact, lookup = sides(spark)
-    hot = fact.filter("k = 7").withColumn("_salt", F.pmod(F.xxhash64("k", "id"), F.lit(16)))
-    once = rows(hot.groupBy("_salt").count())
-    assert len(once) == 16 and once == rows(hot.repartition(5).groupBy("_salt").count())
+def test_hot_keys_are_found_and_few(spark):
+    fact, _ = sides(spark)
+    assert [r["k"] for r in joins.hot_keys(fact, ["k"], share=4).collect()] == [7]
+    even = spark.range(0, 1000).select((F.col("id") % 10).alias("k"))
+    assert joins.hot_keys(even, ["k"], share=10).count() == 10
+    assert joins.hot_keys(even, ["k"], share=9).count() == 0
+
+
+def test_a_hot_key_is_spread_the_same_way_each_time(spark):
+    fact, _ = sides(spark)
+    hot = fact.filter("k = 7").withColumn("split", F.pmod(F.xxhash64("k", "id"), F.lit(16)))
+    once = rows(hot.groupBy("split").count())
+    assert len(once) == 16 and once == rows(hot.repartition(5).groupBy("split").count())
 
 
 # --- enrichment ---

@@ -1,8 +1,7 @@
-"""Joining a large table to a smaller one without assuming how small it is.
+"""Joining a large table to another one without assuming how large or how even it is.
 
-A side is broadcast only after its rows were counted against a limit. Beyond the
-limit the join shuffles, and the large side is salted, so that one key that holds a
-large share of the rows is spread over many tasks.
+A side is broadcast only after its rows were counted against a limit. Beyond the limit the
+join shuffles, and keys that hold a large share of the rows are split over many tasks.
 """
 
 from __future__ import annotations
@@ -14,7 +13,10 @@ from pyspark.sql import functions as F
 
 # Narrow dimension rows of a few hundred bytes: at most some hundred MB per executor.
 BROADCAST_ROW_LIMIT = 1_000_000
-SALTS = 16
+
+# A key is hot from 1/HOT_SHARE of all rows on, so there are at most HOT_SHARE hot keys.
+HOT_SHARE = 1_000
+SPLITS = 64
 
 
 def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
@@ -28,7 +30,6 @@ def lookup_join(
     on: dict[str, str],
     how: str = "left",
     row_limit: int = BROADCAST_ROW_LIMIT,
-    salts: int = SALTS,
     small: bool | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``lookup`` on ``{fact column: lookup column}``; lookup keys are dropped.
@@ -38,29 +39,63 @@ def lookup_join(
     """
     if small is None:
         small = fits_broadcast(lookup, row_limit)
-    condition = _equal_keys(fact, lookup, on)
-    if small:
-        joined = fact.join(F.broadcast(lookup), condition, how)
-    else:
-        joined = salted_join(fact, lookup, on, how, salts)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[lookup[c] for c in on.values()])
+    if not small:
+        return hot_key_join(fact, lookup, on, how)
+    joined = fact.join(F.broadcast(lookup), _equal(fact, lookup, on), how)
+    return _without(joined, lookup, on, how)
+
+
+def hot_keys(fact: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold at least ``1/share`` of the rows: at most ``share`` of them."""
+    counts = fact.dropna(how="any", subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    return counts.filter(F.col("_rows") * share >= total).select(*keys)
 
 
-def salted_join(
-    fact: DataFrame, lookup: DataFrame, on: dict[str, str], how: str = "left", salts: int = SALTS
+def hot_key_join(
+    fact: DataFrame,
+    lookup: DataFrame,
+    on: dict[str, str],
+    how: str = "left",
+    share: int = HOT_SHARE,
+    splits: int = SPLITS,
 ) -> DataFrame:
-    """Equi join whose rows of one key are spread over ``salts`` buckets.
+    """Shuffled equi join whose hot keys are split.
 
-    The bucket is a hash of the fact row, not a random number: a task that is run again
-    after a lost executor puts its rows in the same buckets.
+    Rows of a hot key go to ``splits`` buckets, and only the lookup rows of hot keys are
+    repeated to meet them; all others stay in bucket 0. The list of hot keys has a fixed
+    upper bound, so it is broadcast to both sides. The bucket is a hash of the row, not a
+    random number: a task that is run again after a lost executor puts its rows in the same
+    buckets.
     """
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
-    replicas = lookup.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    condition = _equal_keys(salted_fact, replicas, on) & (
-        salted_fact["_salt"] == replicas["_lookup_salt"].cast("bigint")
+    left_keys, right_keys = list(on), list(on.values())
+    hot = hot_keys(fact, left_keys, share).select(
+        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(left_keys)], F.lit(True).alias("_is_hot")
+    )
+
+    def mark(df: DataFrame, keys: list[str]) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [df[k] == hot[f"_hot_{i}"] for i, k in enumerate(keys)])
+        names = [f"_hot_{i}" for i in range(len(keys))]
+        return df.join(F.broadcast(hot), same, "left").drop(*names)
+
+    bucket = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*fact.columns), F.lit(splits)).cast("int"))
+    spread = mark(fact, left_keys).withColumn("_split", F.coalesce(bucket, F.lit(0))).drop("_is_hot")
+    copies = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(splits - 1)))
+    repeated = (
+        mark(lookup, right_keys)
+        .withColumn("_lookup_split", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+        .drop("_is_hot")
     )
-    return salted_fact.join(replicas, condition, how).drop("_salt", "_lookup_salt")
+    condition = _equal(spread, repeated, on) & (spread["_split"] == repeated["_lookup_split"])
+    joined = spread.join(repeated, condition, how)
+    return _without(joined, repeated, on, how).drop("_split", "_lookup_split")
 
 
-def _equal_keys(left: DataFrame, right: DataFrame, on: dict[str, str]) -> Column:
+def _equal(left: DataFrame, right: DataFrame, on: dict[str, str]) -> Column:
     return reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in on.items()])
+
+
+def _without(joined: DataFrame, lookup: DataFrame, on: dict[str, str], how: str) -> DataFrame:
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.drop(*[lookup[c] for c in on.values()])

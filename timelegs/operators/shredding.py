@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timelegs.functions import durations, geo, text
+from timelegs.operators.joins import hot_key_join
 from timelegs.operators.stops import keep_last
 from timelegs.schemas import RAW_SEGMENTS
 
@@ -80,21 +81,15 @@ def explode_journeys(journeys: DataFrame) -> DataFrame:
 def join_links(legs: DataFrame, lookup: DataFrame) -> DataFrame:
     """Legs with the fields of the pattern link they cite, within the same file.
 
-    Both sides grow with the documents, so the join is left to Spark: a shuffle on
-    (source_file, link_ref), or a broadcast where statistics show a small side.
+    Both sides grow with the documents, so neither is broadcast by hand. A link that very
+    many journeys cite is split.
     """
-    cited = lookup.withColumns({"_file": F.col("source_file"), "_matched": F.lit(True)}).drop(
-        "source_file"
-    )
-    joined = legs.join(
-        cited,
-        (legs["source_file"] == cited["_file"])
-        & (legs["journey_pattern_timing_link_ref"] == cited["link_ref"]),
-        "left",
-    )
-    return joined.withColumn("link_matched", F.coalesce("_matched", F.lit(False))).drop(
-        "_file", "_matched", "link_ref"
-    )
+    cited = lookup.withColumns(
+        {"_file": F.col("source_file"), "_link": F.col("link_ref"), "_matched": F.lit(True)}
+    ).drop("source_file", "link_ref")
+    on = {"source_file": "_file", "journey_pattern_timing_link_ref": "_link"}
+    joined = hot_key_join(legs, cited, on, "left")
+    return joined.withColumn("link_matched", F.coalesce("_matched", F.lit(False))).drop("_matched")
 
 
 def to_raw_segments(joined: DataFrame) -> DataFrame:

@@ -26,14 +26,22 @@ class Layout:
 
 
 def extract(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
-    """Documents to raw segments."""
+    """Documents to raw segments.
+
+    Parsing is the costly part, so the parsed legs and links are written first; the join
+    then reads them as often as it needs.
+    """
     bad = journeys_xml.unreadable_files(spark, xml_path).persist()
     try:
         journeys = journeys_xml.read_documents(spark, xml_path, "VehicleJourney", bad)
         links = journeys_xml.read_documents(spark, xml_path, "JourneyPatternTimingLink", bad)
-        sinks.write_parquet(shredding.extract_segments(journeys, links), out.at("raw_segments"))
+        sinks.write_parquet(shredding.explode_journeys(journeys), out.at("parsed_legs"))
+        sinks.write_parquet(shredding.flatten_links(links), out.at("parsed_links"))
     finally:
         bad.unpersist()
+    lookup = shredding.link_lookup(spark.read.parquet(out.at("parsed_links")))
+    joined = shredding.join_links(spark.read.parquet(out.at("parsed_legs")), lookup)
+    sinks.write_parquet(shredding.to_raw_segments(joined), out.at("raw_segments"))
     return tables.read_parquet(spark, out.at("raw_segments"))
 
 

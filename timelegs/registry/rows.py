@@ -325,7 +325,7 @@ def runtime_classes(net):
 @query(
     "event_hours",
     """
-    SELECT hour(ts) AS departure_hour,
+    SELECT CAST(hour(ts) AS INT) AS departure_hour,
            CASE WHEN hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 16 AND 18 THEN 1 ELSE 0 END
                AS is_peak_hour,
            CASE WHEN hour(ts) BETWEEN 5 AND 11 THEN 'Morning' WHEN hour(ts) BETWEEN 12 AND 16 THEN 'Afternoon'

@@ -139,11 +139,11 @@ def key_difference(net):
 )
 def unlabelled_documents(net):
     """The same anti join where both sides are large tables."""
-    from timelegs.operators.joins import salted_join
+    from timelegs.operators.joins import hot_key_join
 
     documents = net.table("documents").select("doc_id", "source")
     labels = net.table("labels").select("doc_id").distinct()
-    return salted_join(documents, labels, {"doc_id": "doc_id"}, "left_anti")
+    return hot_key_join(documents, labels, {"doc_id": "doc_id"}, "left_anti")
 
 
 @query(
