@@ -127,3 +127,36 @@ def test_settings_grow_with_the_input():
     small, large = settings(10_000, 8), settings(100 * 1024**4, 4000)
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert int(large["spark.sql.shuffle.partitions"]) == 100 * 1024**4 * 3 // (128 * 1024**2)
+
+
+@pytest.fixture
+def checkpoint_folder(spark):
+    """The shared folder that the session names, as a cluster does."""
+    return spark.conf.get("spark.checkpoint.dir")
+
+
+def test_stage_tables_go_to_the_shared_folder(spark, checkpoint_folder):
+    from timelegs.sources.stage import stage
+
+    builds = []
+
+    def build():
+        builds.append(1)
+        return spark.range(5)
+
+    first = stage(f"test {checkpoint_folder}", build)
+    again = stage(f"test {checkpoint_folder}", build)
+    assert first.count() == again.count() == 5 and len(builds) == 1
+    assert checkpoint_folder in first.inputFiles()[0]
+
+
+def test_training_rows_are_checkpointed_when_a_folder_is_named(spark, run, checkpoint_folder):
+    data = modelling.prepare(run["enriched"])
+    try:
+        assert "ExistingRDD" in data.train._jdf.queryExecution().logical().toString() or (
+            "LogicalRDD" in data.train._jdf.queryExecution().logical().toString()
+        )
+        names = modelling.feature_names(data.train)
+        assert len(names) == data.train.first()["features"].size
+    finally:
+        data.release()

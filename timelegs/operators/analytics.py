@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timelegs.functions import clock, measures
+from timelegs.operators.records import beside
 
 # Report sizes and the smallest line the flagged-share report keeps.
 LONGEST_ROWS = 100
@@ -71,8 +72,7 @@ def overall_statistics(segments: DataFrame) -> DataFrame:
         F.max(v).alias("maximum_runtime_minutes"),
         *_flag_measures(),
     )
-    both = measured.withColumn("_counts", counts.select(F.struct("*")).scalar())
-    return both.select(*measured.columns, "_counts.*")
+    return beside(measured, counts)
 
 
 def runtime_distribution(segments: DataFrame) -> DataFrame:

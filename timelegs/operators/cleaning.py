@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timelegs.functions import clock, measures, text
+from timelegs.operators.records import beside
 from timelegs.schemas import REQUIRED_TEXT
 
 # Fixed value: whisker length of the interquartile fence.
@@ -117,13 +118,11 @@ def quality_funnel(raw: DataFrame) -> DataFrame:
 
 def cleaning_summary(raw: DataFrame, flagged: DataFrame, fence: DataFrame) -> DataFrame:
     """The funnel with the fence and the number of flagged rows beside it, still one row."""
-    high = flagged.agg(F.count_if(F.col("is_iqr_high_duration") == 1).alias("n"))
-    return quality_funnel(raw).withColumns(
-        {
-            "runtime_q1_minutes": fence.select("q1").scalar(),
-            "runtime_q3_minutes": fence.select("q3").scalar(),
-            "runtime_iqr_minutes": fence.select("iqr").scalar(),
-            "upper_iqr_limit_minutes": fence.select("upper_limit").scalar(),
-            "high_duration_records_retained": high.scalar(),
-        }
+    high = flagged.agg(F.count_if(F.col("is_iqr_high_duration") == 1).alias("high_duration_records_retained"))
+    limits = fence.select(
+        F.col("q1").alias("runtime_q1_minutes"),
+        F.col("q3").alias("runtime_q3_minutes"),
+        F.col("iqr").alias("runtime_iqr_minutes"),
+        F.col("upper_limit").alias("upper_iqr_limit_minutes"),
     )
+    return beside(quality_funnel(raw), limits, high)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from timelegs.functions import geo, measures
 from timelegs.operators.joins import BROADCAST_ROW_LIMIT, fits_broadcast, lookup_join
+from timelegs.operators.records import beside
 from timelegs.schemas import ROLE_ATTRIBUTES
 
 
@@ -109,7 +110,4 @@ def distance_statistics(
 
 def feature_summary(enriched: DataFrame) -> DataFrame:
     """Counters and distance statistics side by side, still one row."""
-    statistics = distance_statistics(enriched)
-    return match_counters(enriched).withColumns(
-        {name: statistics.select(name).scalar() for name in statistics.columns}
-    )
+    return beside(match_counters(enriched), distance_statistics(enriched))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from timelegs.functions import geo, measures, text
 from timelegs.operators.joins import lookup_join
+from timelegs.operators.records import beside
 from timelegs.schemas import REGISTER_SPELLINGS, STOP_CATALOGUE, STOPS
 
 # The fields that make one record of a stop more useful than another.
@@ -72,8 +73,7 @@ def catalogue_counters(records: DataFrame, catalogue: DataFrame) -> DataFrame:
         F.count_if(~located).alias("stops_without_coordinates"),
     )
     names = unique.columns
-    both = elements.withColumns({name: unique.select(name).scalar() for name in names})
-    return both.select(
+    return beside(elements, unique).select(
         "annotated_stop_elements_read",
         "local_stop_elements_read",
         "total_stop_elements_read",
@@ -164,17 +164,17 @@ def match_summary(catalogue: DataFrame, register: DataFrame, stops: DataFrame) -
     area = F.nullif(text.area_code("stop_ref"), F.lit(""))
     areas = F.array_sort(F.collect_set(area))
     count = F.count(F.lit(1))
-    matched = stops.agg(count.alias("m"), F.count_if(F.col("has_coordinates") == 1).alias("c"))
-    base = catalogue.agg(
-        count.alias("timetable_stop_references"),
-        F.size(areas).alias("atco_area_codes_requested"),
-        F.array_join(areas, "|").alias("atco_area_code_list"),
-    ).withColumns(
-        {
-            "total_naptan_rows_downloaded": register.agg(count.alias("n")).scalar(),
-            "matched_stop_references": matched.select("m").scalar(),
-            "matched_stops_with_coordinates": matched.select("c").scalar(),
-        }
+    base = beside(
+        catalogue.agg(
+            count.alias("timetable_stop_references"),
+            F.size(areas).alias("atco_area_codes_requested"),
+            F.array_join(areas, "|").alias("atco_area_code_list"),
+        ),
+        register.agg(count.alias("total_naptan_rows_downloaded")),
+        stops.agg(
+            count.alias("matched_stop_references"),
+            F.count_if(F.col("has_coordinates") == 1).alias("matched_stops_with_coordinates"),
+        ),
     )
     whole = F.col("timetable_stop_references")
     return base.withColumns(

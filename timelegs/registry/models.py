@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timelegs.operators import modelling
+from timelegs.operators.joins import lookup_join
 from timelegs.registry.book import query
 
 
@@ -62,9 +63,13 @@ def baseline_results(net) -> DataFrame:
     """Metrics of four group means, one row each: the input of a ranking."""
 
     def result(name: str, group: str) -> DataFrame:
-        rows = net.modelling_rows.select(group, "label")
-        means = rows.groupBy(group).agg(F.round(F.avg("label"), 6).alias("prediction"))
-        found = rounded_metrics(rows.join(means, rows[group].eqNullSafe(means[group])))
+        # An unknown value is a group of its own.
+        shown = F.coalesce(F.col(group).cast("string"), F.lit(""))
+        rows = net.modelling_rows.select(shown.alias("group"), "label")
+        means = rows.groupBy(F.col("group").alias("mean_group")).agg(
+            F.round(F.avg("label"), 6).alias("prediction")
+        )
+        found = rounded_metrics(lookup_join(rows, means, {"group": "mean_group"}, "inner"))
         return found.select(F.lit(name).alias("model_name"), "*")
 
     return reduce(DataFrame.unionByName, [result(n, g) for n, g in BASELINES.items()])
@@ -181,7 +186,7 @@ def split_summary(net):
 @query("model_comparison")
 def model_comparison(net):
     """The four regressors trained and ranked; the rows hold wall times, so SQL cannot repeat them."""
-    data = modelling.prepare(net.enriched)
+    data = modelling.prepare(net.enriched_table)
     try:
         return modelling.compare_models(data).results
     finally:
@@ -189,7 +194,7 @@ def model_comparison(net):
 
 
 def decision_tree_scores(net) -> DataFrame:
-    data = modelling.prepare(net.enriched)
+    data = modelling.prepare(net.enriched_table)
     tree = next(c for c in modelling.candidates() if c.name == "Decision Tree")
     return modelling.score(tree.estimator.fit(data.train), data)
 
@@ -206,7 +211,7 @@ def residual_sample(net):
 
 @query("feature_importance")
 def feature_importance(net):
-    data = modelling.prepare(net.enriched)
+    data = modelling.prepare(net.enriched_table)
     try:
         tree = next(c for c in modelling.candidates() if c.name == "Decision Tree")
         model = tree.estimator.fit(data.train)

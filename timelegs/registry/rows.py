@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from timelegs.functions import clock, durations, geo, measures, text
 from timelegs.operators import cleaning, profiling
+from timelegs.operators.records import beside
 from timelegs.registry.book import COMPLETE, RAW_COLUMNS, blank, query
 from timelegs.schemas import RAW_SEGMENTS
 from timelegs.sources import sinks
@@ -90,14 +91,10 @@ def cleaned_segments(net):
     ["segments", "fence"],
 )
 def iqr_flagged(net):
-    fence = cleaning.iqr_fence(net.cleaned)
-    return cleaning.flag_high_durations(net.cleaned, fence).select(
-        "vehicle_timing_link_id",
-        "segment_key",
-        "runtime_minutes",
-        "is_iqr_high_duration",
-        *[fence.select(c).scalar().alias(c) for c in ("q1", "q3", "upper_limit")],
-    )
+    fence = cleaning.iqr_fence(net.cleaned).select("q1", "q3", "upper_limit")
+    flagged = cleaning.flag_high_durations(net.cleaned, fence)
+    columns = ["vehicle_timing_link_id", "segment_key", "runtime_minutes", "is_iqr_high_duration"]
+    return beside(flagged.select(*columns), fence)
 
 
 @query(

@@ -350,7 +350,7 @@ def injection_inert(net):
 def key_exists(net):
     values = [LINE, "no such line"]
     answers = [
-        quality.key_exists(net.enriched, "line_ref", v).select(F.lit(v).alias("line_ref"), "found")
+        quality.key_exists(net.enriched_table, "line_ref", v).select(F.lit(v).alias("line_ref"), "found")
         for v in values
     ]
     return answers[0].unionByName(answers[1])
@@ -395,7 +395,7 @@ def null_violations(net):
 )
 def check_violations(net):
     """The rules over shifted values, so that each is broken by some rows."""
-    shifted = net.enriched.select(
+    shifted = net.enriched_table.select(
         "departure_hour",
         (F.col("distance_km") - 0.5).alias("distance_km"),
         (F.col("runtime_minutes") - 5).alias("runtime_minutes"),

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from timelegs.functions import text
 from timelegs.operators import cleaning, enrichment, modelling, serving, shredding, stops
+from timelegs.operators.joins import lookup_join
 from timelegs.schemas import PREDICTION_COLUMNS, RAW_SEGMENTS, STOPS
+from timelegs.sources.stage import stage
 
 DEFECT_TAX = 8
 
@@ -353,16 +355,22 @@ class SampleNetwork:
 
     # --- predictions and serving tables ---
 
+    @cached_property
+    def enriched_table(self) -> DataFrame:
+        """The enriched segments as a written table, for queries that read them repeatedly."""
+        return stage(f"enriched {self.sf_dir}", lambda: self.enriched)
+
     @cached_property
     def modelling_rows(self) -> DataFrame:
-        return modelling.modelling_rows(self.enriched)
+        return modelling.modelling_rows(self.enriched_table)
 
     @cached_property
     def mean_predictions(self) -> DataFrame:
         """Modelling rows with the mean run time of their line as the prediction."""
         rows = self.modelling_rows
-        means = rows.groupBy("line_ref").agg(F.round(F.avg("label"), 6).alias("prediction"))
-        return rows.join(means, "line_ref")
+        line = F.col("line_ref").alias("mean_line")
+        means = rows.groupBy(line).agg(F.round(F.avg("label"), 6).alias("prediction"))
+        return lookup_join(rows, means, {"line_ref": "mean_line"}, "inner")
 
     @cached_property
     def flagged_predictions(self) -> DataFrame:
@@ -371,13 +379,17 @@ class SampleNetwork:
             residuals, modelling.residual_threshold(residuals, accuracy=FINE_ACCURACY)
         )
 
+    @cached_property
+    def predictions_table(self) -> DataFrame:
+        return stage(f"predictions {self.sf_dir}", lambda: self.flagged_predictions)
+
     @cached_property
     def serving(self) -> dict[str, DataFrame]:
         """The serving tables except for model_results."""
         return {
             "stops": serving.serving_stops(self.stops),
-            "segments": serving.serving_segments(self.enriched),
+            "segments": serving.serving_segments(self.enriched_table),
             "predictions": serving.serving_predictions(
-                self.flagged_predictions.select(*PREDICTION_COLUMNS), "Line mean"
+                self.predictions_table.select(*PREDICTION_COLUMNS), "Line mean"
             ),
         }

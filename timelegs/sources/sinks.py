@@ -22,11 +22,12 @@ def write_parquet(
     expected_rows: int | None = None,
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
+    allow_empty: bool = False,
 ) -> int:
     """Write snappy Parquet and return the rows written, counted in the same pass.
 
-    Zero rows, or another number than ``expected_rows``, is an error. The count is an
-    observation on the write itself, so no second job reads the data.
+    Zero rows (unless allowed), or another number than ``expected_rows``, is an error. The
+    count is an observation on the write itself, so no second job reads the data.
     """
     observation = Observation()
     counted = df.observe(observation, F.count(F.lit(1)).alias("rows"))
@@ -35,7 +36,7 @@ def write_parquet(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     rows = observation.get["rows"]
-    if rows == 0:
+    if rows == 0 and not allow_empty:
         raise WriteError(f"no records were written to {path}")
     if expected_rows is not None and rows != expected_rows:
         raise WriteError(f"expected {expected_rows} rows in {path}, wrote {rows}")
