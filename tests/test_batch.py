@@ -81,6 +81,26 @@ def test_enriching_does_not_shuffle_the_segments(run):
     assert inspect.exchanges(run["enriched"]) == 0, plan
 
 
+def report(spark, run, name):
+    return tables.metrics_record(
+        tables.read_metrics(spark, run["out"].at(f"reports/{name}"))
+    ).first().asDict()
+
+
+def test_reports(spark, run):
+    batch.write_reports(spark, run["out"])
+    cleaned = report(spark, run, "data_cleaning_summary")
+    assert int(cleaned["raw_records"]) - int(cleaned["total_records_removed"]) == run["segments"].count()
+    assert report(spark, run, "eda_summary")["record_count"] == cleaned["final_cleaned_records"]
+    assert report(spark, run, "feature_engineering_summary")["both_stops_match_percentage"] == "100.0"
+    read = spark.read.option("header", True)
+    routes = read.csv(run["out"].at("reports/route_runtime_summary"))
+    assert routes.count() == 3 and len(routes.columns) == 11
+    assert read.csv(run["out"].at("reports/peak_hour_summary")).columns[0] == "period_type"
+    sample = read.csv(run["out"].at("reports/enriched_segment_sample"))
+    assert sample.count() == 100 and len(sample.columns) == 16
+
+
 def test_training_and_serving(spark, run, monkeypatch):
     io = {"featuresCol": "features", "labelCol": "label", "predictionCol": "prediction"}
     monkeypatch.setattr(
@@ -89,6 +109,12 @@ def test_training_and_serving(spark, run, monkeypatch):
         lambda: [modelling.Candidate("Tree", "dt", DecisionTreeRegressor(maxDepth=4, seed=1, **io))],
     )
     comparison = batch.train(spark, run["enriched"], run["out"])
+    assert report(spark, run, "best_model_summary")["best_model_name"] == "Tree"
+    assert report(spark, run, "model_split_summary")["overlapping_segments"] == "0"
+    anomalies = report(spark, run, "model_anomaly_summary")
+    assert float(anomalies["residual_threshold"]) >= 0
+    top = spark.read.option("header", True).csv(run["out"].at("reports/top_model_anomalies"))
+    assert top.count() == min(100, int(anomalies["model_anomaly_records"]))
     results = tables.read_parquet(spark, run["out"].at("model_results"))
     predictions = tables.read_parquet(spark, run["out"].at("test_predictions"))
     loaded = batch.load_serving(

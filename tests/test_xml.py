@@ -179,3 +179,10 @@ def test_first_text_follows_document_order(spark):
     df = spark.createDataFrame([(xml,), ("<S/>",)], "x string")
     tags = ["LocalityName", "LocalityQualifier", "NptgLocalityRef"]
     assert [r[0] for r in df.select(shredding.first_text("x", tags)).collect()] == ["N", ""]
+
+
+def test_documents_are_counted_and_required(spark, folder, tmp_path):
+    assert tuple(journeys_xml.document_counters(spark, folder).first()) == (4, 2)
+    journeys_xml.require_documents(spark, folder)
+    with pytest.raises(FileNotFoundError, match="no XML documents"):
+        journeys_xml.require_documents(spark, str(tmp_path))

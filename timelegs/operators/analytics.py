@@ -92,14 +92,9 @@ def time_of_day_summary(segments: DataFrame) -> DataFrame:
 
 
 def peak_summary(segments: DataFrame) -> DataFrame:
-    label = F.when(F.col("is_peak_hour") == 1, "Peak").otherwise("Off-peak")
-    return (
-        segments.groupBy("is_peak_hour")
-        .agg(*_centre_measures(), *_flag_measures())
-        .orderBy(F.col("is_peak_hour").desc())
-        .withColumn("period_type", label)
-        .drop("is_peak_hour")
-    )
+    label = F.when(F.col("is_peak_hour") == 1, "Peak").otherwise("Off-peak").alias("period_type")
+    measured = segments.groupBy("is_peak_hour").agg(*_centre_measures(), *_flag_measures())
+    return measured.orderBy(F.col("is_peak_hour").desc()).select(label, *measured.columns[1:])
 
 
 def route_summary(segments: DataFrame) -> DataFrame:
@@ -120,7 +115,9 @@ def route_summary(segments: DataFrame) -> DataFrame:
         F.count_distinct("source_file", "vehicle_journey_code").alias("unique_vehicle_journeys"),
     )
     joined = per_line.join(keys, F.col("line_ref").eqNullSafe(F.col("_line")))
-    return joined.drop("_line").orderBy(F.col("record_count").desc(), "line_ref")
+    key_counts = ["unique_segments", "unique_vehicle_journeys"]
+    ordered = joined.select("line_ref", "record_count", *key_counts, *per_line.columns[2:])
+    return ordered.orderBy(F.col("record_count").desc(), "line_ref")
 
 
 def high_duration_routes(segments: DataFrame, min_records: int = MIN_ROUTE_RECORDS) -> DataFrame:

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from timelegs.functions import geo, measures
 from timelegs.operators.joins import BROADCAST_ROW_LIMIT, fits_broadcast, lookup_join
+from timelegs.operators.profiling import preview
 from timelegs.operators.records import beside
-from timelegs.schemas import ROLE_ATTRIBUTES
+from timelegs.schemas import ROLE_ATTRIBUTES, SAMPLE_COLUMNS
+
+SAMPLE_ROWS = 100
 
 
 def stop_role(stops: DataFrame, role: str) -> DataFrame:
@@ -60,6 +63,19 @@ def enrich_segments(segments: DataFrame, stops: DataFrame, **join_options) -> Da
     return add_distance_features(join_stops(segments, stops, **join_options))
 
 
+def enriched_sample(enriched: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """A fixed look at the enriched rows: the first ones by line, journey and time."""
+    order = [
+        "line_ref",
+        "vehicle_journey_code",
+        "departure_time",
+        "from_stop_ref",
+        "to_stop_ref",
+        "runtime_minutes",
+    ]
+    return preview(enriched, SAMPLE_COLUMNS, order, rows)
+
+
 def unmatched(role: str):
     """Condition: the stop at this end has no usable coordinates."""
     return F.col(f"{role}_latitude").isNull() | F.col(f"{role}_longitude").isNull()

@@ -391,6 +391,21 @@ def anomaly_summary(flagged: DataFrame) -> DataFrame:
     )
 
 
+def best_model_summary(comparison: Comparison, data: PreparedData) -> DataFrame:
+    """One row about the best model: name, settings, metrics and the size of its input."""
+    size = data.train.schema["features"].metadata["ml_attr"]["num_attrs"]
+    return comparison.results.filter(F.col("model_name") == comparison.best_name).select(
+        F.col("model_name").alias("best_model_name"),
+        F.col("configuration").alias("best_model_configuration"),
+        F.col("rmse").alias("best_model_rmse"),
+        F.col("mae").alias("best_model_mae"),
+        F.col("r2").alias("best_model_r2"),
+        F.lit(size).alias("feature_vector_size"),
+        "training_records",
+        "testing_records",
+    )
+
+
 def top_anomalies(flagged: DataFrame, rows: int = TOP_ANOMALIES) -> DataFrame:
     ties = [F.col(c).asc_nulls_last() for c in PREDICTION_IDENTIFIERS]
     return (

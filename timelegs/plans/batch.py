@@ -10,8 +10,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timelegs.operators import cleaning, enrichment, modelling, serving, shredding, stops
+from timelegs.operators import (
+    analytics,
+    cleaning,
+    enrichment,
+    modelling,
+    serving,
+    shredding,
+    stops,
+)
 from timelegs.operators.quality import key_exists
+from timelegs.operators.records import beside
 from timelegs.sources import journeys_xml, sinks, tables
 
 
@@ -31,6 +40,7 @@ def extract(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
     Parsing is the costly part, so the parsed legs and links are written first; the join
     then reads them as often as it needs.
     """
+    journeys_xml.require_documents(spark, xml_path)
     bad = journeys_xml.unreadable_files(spark, xml_path).persist()
     try:
         journeys = journeys_xml.read_documents(spark, xml_path, "VehicleJourney", bad)
@@ -48,6 +58,7 @@ def extract(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
 def extract_stop_catalogue(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
     """Documents to one record per stop. Ties go to the earlier file, and within a file to
     the referenced stop before the locally defined one."""
+    journeys_xml.require_documents(spark, xml_path)
     annotated = shredding.annotated_stop_records(
         journeys_xml.read_partial_documents(spark, xml_path, "AnnotatedStopPointRef")
     )
@@ -88,18 +99,60 @@ def enrich(spark: SparkSession, segments: DataFrame, stop_rows: DataFrame, out:
 
 
 def train(spark: SparkSession, enriched: DataFrame, out: Layout) -> modelling.Comparison:
-    """Compare the models; write the comparison and the scored test rows of the best."""
+    """Compare the models; write the comparison, the scored test rows of the best model,
+    its features by importance, and the summaries."""
     data = modelling.prepare(enriched)
     try:
         comparison = modelling.compare_models(data)
         sinks.write_parquet(comparison.results, out.at("model_results"))
         scored = modelling.score(comparison.best_model, data)
         sinks.write_parquet(scored, out.at("test_predictions"), expected_rows=data.test.count())
+        importance = modelling.feature_importance(
+            comparison.best_model, modelling.feature_names(data.train), spark
+        )
+        sinks.write_csv(importance, out.at("reports/feature_importance"))
+        summary = modelling.best_model_summary(comparison, data)
+        sinks.write_metrics(summary, out.at("reports/best_model_summary"))
+        split = modelling.split_summary(data.train, data.test)
+        sinks.write_metrics(split, out.at("reports/model_split_summary"))
+        errors = modelling.add_residuals(comparison.best_model.transform(data.train))
+        predictions = tables.read_parquet(spark, out.at("test_predictions"))
+        anomalies = beside(
+            modelling.anomaly_summary(predictions), modelling.residual_threshold(errors)
+        )
+        sinks.write_metrics(anomalies, out.at("reports/model_anomaly_summary"))
     finally:
         data.release()
+    sinks.write_csv(modelling.top_anomalies(predictions), out.at("reports/top_model_anomalies"))
     return comparison
 
 
+def write_reports(spark: SparkSession, out: Layout) -> None:
+    """The descriptive reports and summaries, as CSV, from the written tables."""
+    raw = tables.read_parquet(spark, out.at("raw_segments"))
+    segments = tables.read_parquet(spark, out.at("segments_cleaned"))
+    enriched = tables.read_parquet(spark, out.at("segments_enriched"))
+    fence = cleaning.iqr_fence(segments)
+    summaries = {
+        "data_cleaning_summary": cleaning.cleaning_summary(raw, segments, fence),
+        "eda_summary": analytics.overall_statistics(segments),
+        "feature_engineering_summary": enrichment.feature_summary(enriched),
+    }
+    reports = {
+        "runtime_distribution": analytics.runtime_distribution(segments),
+        "time_of_day_summary": analytics.time_of_day_summary(segments),
+        "peak_hour_summary": analytics.peak_summary(segments),
+        "route_runtime_summary": analytics.route_summary(segments),
+        "high_duration_route_summary": analytics.high_duration_routes(segments),
+        "top_high_duration_segments": analytics.longest_segments(segments),
+        "enriched_segment_sample": enrichment.enriched_sample(enriched),
+    }
+    for name, record in summaries.items():
+        sinks.write_metrics(record, out.at(f"reports/{name}"))
+    for name, report in reports.items():
+        sinks.write_csv(report, out.at(f"reports/{name}"))
+
+
 def load_serving(
     spark: SparkSession,
     stop_rows: DataFrame,

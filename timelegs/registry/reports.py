@@ -270,8 +270,11 @@ def unmatched_segments(net):
     "enriched_sample",
     """
     SELECT line_ref, vehicle_journey_code, departure_time, from_stop_ref, origin_stop_name,
-           to_stop_ref, destination_stop_name, round(distance_km, 6) AS distance_km, distance_band,
-           to_sequence - from_sequence AS sequence_gap, runtime_minutes
+           round(origin_latitude, 6) AS origin_latitude, round(origin_longitude, 6) AS origin_longitude,
+           to_stop_ref, destination_stop_name, round(destination_latitude, 6) AS destination_latitude,
+           round(destination_longitude, 6) AS destination_longitude,
+           round(distance_km, 6) AS distance_km, round(distance_km * 1000, 2) AS distance_metres,
+           distance_band, to_sequence - from_sequence AS sequence_gap, runtime_minutes
     FROM enriched
     ORDER BY line_ref, vehicle_journey_code, departure_time, from_stop_ref, to_stop_ref, runtime_minutes
     LIMIT 100
@@ -279,29 +282,15 @@ def unmatched_segments(net):
     ["enriched"],
 )
 def enriched_sample(net):
-    from timelegs.operators.profiling import preview
-
-    order = [
-        "line_ref",
-        "vehicle_journey_code",
-        "departure_time",
-        "from_stop_ref",
-        "to_stop_ref",
-        "runtime_minutes",
-    ]
-    columns = [
-        *order[:4],
-        "origin_stop_name",
-        "to_stop_ref",
-        "destination_stop_name",
+    rounded = [
+        "origin_latitude",
+        "origin_longitude",
+        "destination_latitude",
+        "destination_longitude",
         "distance_km",
-        "distance_band",
-        "sequence_gap",
-        "runtime_minutes",
     ]
-    return preview(net.enriched, columns, order, 100).withColumn(
-        "distance_km", F.round("distance_km", 6)
-    )
+    sample = enrichment.enriched_sample(net.enriched)
+    return sample.withColumns({c: F.round(c, 6) for c in rounded})
 
 
 @query(

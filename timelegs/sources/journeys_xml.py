@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from timelegs.operators.joins import lookup_join
+from timelegs.operators.records import beside
 
 CORRUPT = "_corrupt_record"
 ROOT = "TransXChange"
@@ -52,6 +53,32 @@ def file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
+def document_paths(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of the documents below ``path``; their contents are not read."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.xml")
+        .load(path)
+        .select("path")
+    )
+
+
+def require_documents(spark: SparkSession, path: str) -> None:
+    """An error when there is no document below ``path``."""
+    if document_paths(spark, path).isEmpty():
+        raise FileNotFoundError(f"no XML documents below {path}")
+
+
+def document_counters(spark: SparkSession, path: str) -> DataFrame:
+    """One row: documents found, and those that could not be read to their end."""
+    count = F.count(F.lit(1))
+    found = document_paths(spark, path).agg(count.alias("xml_files_found"))
+    return beside(
+        found, unreadable_files(spark, path).agg(count.alias("unreadable_xml_files"))
+    )
+
+
 def _read(spark: SparkSession, path: str, element: str, schema: StructType) -> DataFrame:
     return (
         spark.read.format("xml")
