@@ -24,7 +24,7 @@ def test_hostile_text_matches_nothing(spark, network):
     assert row["sql_injection_prevented"]
 
 
-def test_parameters_never_enter_the_text():
+def test_questions_are_plain_text_with_markers():
     for statement in serving.QUERIES.values():
         assert "%s" not in statement and "' +" not in statement
 
@@ -216,6 +216,30 @@ def test_csv_keeps_blanks_and_reads_a_byte_order_mark(spark, raw_row, tmp_path):
     assert tables.metric_value(metrics, "absent").first()["value"] is None
 
 
+def test_stop_files_load_under_their_layouts(spark, tmp_path):
+    from timelegs.schemas import STOP_CATALOGUE
+
+    stop = ("A", "own", "official", None, None, 1.5, 2.5, 1, "BCT", "active", "1", "100")
+    for schema, row, read in (
+        (STOPS, stop, tables.read_stops),
+        (STOP_CATALOGUE, ("A", "n", "l", "1.5", "2.5", "1", "x", "f"), tables.read_stop_catalogue),
+    ):
+        path = str(tmp_path / read.__name__)
+        sinks.write_csv(spark.createDataFrame([row], schema), path)
+        back = read(spark, path)
+        assert back.schema == schema and [tuple(r) for r in back.collect()] == [row]
+
+
+def test_exports(spark, tmp_path):
+    result = spark.createDataFrame([("L1", 1.0, 2.0)], "line_ref string, latitude double, longitude double")
+    sinks.export_result(result, str(tmp_path / "csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == ["line_ref"]
+    statements = serving.sample_export({"lines": result})
+    sinks.write_statements(statements, str(tmp_path / "sql"))
+    [line] = spark.read.text(str(tmp_path / "sql")).collect()
+    assert line[0] == "INSERT INTO lines (line_ref, latitude, longitude) VALUES ('L1', 1.0, 2.0);"
+
+
 def test_metrics_keep_the_column_order(spark):
     record = spark.createDataFrame([(1, "x", None)], "b int, a string, c double")
     rows = [tuple(r) for r in sinks.as_metrics(record).collect()]

@@ -28,7 +28,3 @@ def percent_of_flags(flag: Column | str, digits: int = 4) -> Column:
 def percentage(part: Column, whole: Column, digits: int = 4) -> Column:
     """``100·part/whole``; 0 when there is no whole."""
     return F.coalesce(F.round(F.try_divide(F.lit(100.0) * part, whole), digits), F.lit(0.0))
-
-
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)

@@ -20,8 +20,12 @@ SPLITS = 64
 
 
 def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether ``df`` has at most ``row_limit`` rows; stops counting just past it."""
-    return df.limit(row_limit + 1).count() <= row_limit
+    """Whether ``df`` has at most ``row_limit`` rows.
+
+    A plain count adds one number per task. Counting a limited frame would first bring up to
+    ``row_limit`` rows of every partition together in one task.
+    """
+    return df.count() <= row_limit
 
 
 def lookup_join(
