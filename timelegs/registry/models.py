@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from timelegs.operators import modelling
 from timelegs.operators.joins import lookup_join
 from timelegs.registry.book import query
+from timelegs.sources.stage import stage
 
 
 @query(
@@ -194,9 +195,21 @@ def model_comparison(net):
 
 
 def decision_tree_scores(net) -> DataFrame:
-    data = modelling.prepare(net.enriched_table)
-    tree = next(c for c in modelling.candidates() if c.name == "Decision Tree")
-    return modelling.score(tree.estimator.fit(data.train), data)
+    """Test rows scored by a decision tree, as a written table, so that the encoded rows can
+    be let go of."""
+    held = []
+
+    def build() -> DataFrame:
+        data = modelling.prepare(net.enriched_table)
+        held.append(data)
+        tree = next(c for c in modelling.candidates() if c.name == "Decision Tree")
+        return modelling.score(tree.estimator.fit(data.train), data)
+
+    try:
+        return stage(f"tree scores {net.sf_dir}", build)
+    finally:
+        for data in held:
+            data.release()
 
 
 @query("anomaly_scores")
