@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timelegs.llm import anchor_dedup, jaccard_join, suffix_dedup
+from timelegs.llm import anchor_dedup, decontaminate, jaccard_join, language_id, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,15 +30,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "row.doc_id",
+        "n_bytes",
         F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["upto"] - s["begin"]).alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
+def remainder(n: int):
+    """The fold of a document: crc32 of its doc_id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (remainder(5) == 0).alias("held_out"))
+    model = language_id.train(docs.filter("NOT held_out"))
+    return language_id.predict(docs, model, keep=["doc_id", "held_out"]).select("row.*", "lang_pred", "score")
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))

@@ -6,7 +6,9 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _LOCAL: dict[str, str] = {}
 
@@ -49,3 +51,13 @@ class Workspace:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def whole_row(df: DataFrame, keep: list[str] | None = None) -> Column:
+    """All columns of a frame, or those named, as one column ``row``: added columns then never clash."""
+    return F.struct(*(df[f"`{c}`"] for c in (df.columns if keep is None else keep))).alias("row")
+
+
+def row_and(df: DataFrame, more: str) -> StructType:
+    """The schema of the column ``row`` of a frame, followed by further columns in DDL."""
+    return StructType(df.select("row").schema.fields + StructType.fromDDL(more).fields)

@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timelegs.llm.store import row_and, whole_row
 from timelegs.llm.textkeys import U64, mix, running, utf8, window
 
 # Every residue modulo 13 is a difference of two of these.
@@ -267,38 +268,42 @@ def cut_spans(text: bytes, starts: list[dict], length: int) -> tuple[bytes, list
     return b"".join([*kept, text[at:]]), [{"begin": b, "upto": e} for b, e in spans]
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 200, id_column: str = "doc_id", text_column: str = "text", keep: list[str] | None = None
+) -> DataFrame:
     """Each row of ``docs`` with its repeated strings removed.
 
-    Returned: doc_id, text, kept (binary, the remaining bytes) and spans (array of begin, upto:
-    the maximal removed runs of bytes). A byte goes if a string of ``length`` bytes that covers it
-    also starts anywhere else, the same document included; every copy goes. Null is the empty
-    text; texts shorter than ``length`` lose nothing; repeated rows repeat each other. Documents
-    are told apart by doc_id, null included, and a hash of the text.
+    Returned: row (the input row, or its columns ``keep``), n_bytes, kept (binary, the remaining
+    bytes) and spans (array of begin, upto: the maximal removed runs of bytes). A byte goes if a
+    string of ``length`` bytes that covers it also starts anywhere else, the same document
+    included; every copy goes. Null is the empty text; texts shorter than ``length`` lose nothing;
+    repeated rows repeat each other. Documents are told apart by their id, null included, and a
+    hash of the text.
     """
     if length < 2 * GRAM + PERIOD:
         raise ValueError(f"length must be at least {2 * GRAM + PERIOD}")
-    docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    docs = docs.withColumn("sig", F.xxhash64("text"))
-    starts = repeated_stretches(docs, length).select(F.col("doc_id").alias("id"), F.col("sig").alias("s"), "starts")
+    text = docs[f"`{text_column}`"].cast("string")
+    docs = docs.select(
+        whole_row(docs, keep), docs[f"`{id_column}`"].cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("sig")
+    )
+    starts = repeated_stretches(docs.select("doc_id", "text", "sig"), length)
+    starts = starts.select(F.col("doc_id").alias("id"), F.col("sig").alias("s"), "starts")
 
     def cut(batches):
         for batch in batches:
-            kept, spans = [], []
+            size, kept, spans = [], [], []
             for text, found in zip(batch.column("text"), batch.column("starts"), strict=True):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 rest, runs = cut_spans(raw, found.as_py(), length) if found.is_valid else (raw, [])
+                size.append(len(raw))
                 kept.append(rest)
                 spans.append(runs)
             kind = pa.list_(pa.struct([("begin", pa.int64()), ("upto", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(kept, pa.binary()), pa.array(spans, kind)],
-                ["doc_id", "text", "kept", "spans"],
+                [batch.column("row"), pa.array(size, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, kind)],
+                ["row", "n_bytes", "kept", "spans"],
             )
 
     joined = docs.join(starts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("sig") == F.col("s")), "left")
-    return joined.select("doc_id", "text", "starts").mapInArrow(
-        cut, "doc_id bigint, text string, kept binary, spans array<struct<begin:bigint,upto:bigint>>"
-    )
-
-
+    kinds = row_and(docs, "n_bytes bigint, kept binary, spans array<struct<begin:bigint,upto:bigint>>")
+    return joined.select("row", "text", "starts").mapInArrow(cut, kinds)
