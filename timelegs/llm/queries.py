@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timelegs.llm import anchor_dedup, decontaminate, jaccard_join, language_id, suffix_dedup
+from timelegs.llm import anchor_dedup, curriculum, decontaminate, jaccard_join, language_id, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,12 @@ def op10_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchor_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = curriculum.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken", "position")
+
+
+ORACLES["op7_curriculum_mix"] = curriculum.MIX_SQL.format(documents="documents")

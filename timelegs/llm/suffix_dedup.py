@@ -274,7 +274,8 @@ def remove_repeats(
     """Each row of ``docs`` with its repeated strings removed.
 
     Returned: row (the input row, or its columns ``keep``), n_bytes, kept (binary, the remaining
-    bytes) and spans (array of begin, upto: the maximal removed runs of bytes). A byte goes if a
+    bytes), kept_text (the same without characters of which a part was cut; null where nothing
+    was) and spans (array of begin, upto: the maximal removed runs of bytes). A byte goes if a
     string of ``length`` bytes that covers it also starts anywhere else, the same document
     included; every copy goes. Null is the empty text; texts shorter than ``length`` lose nothing;
     repeated rows repeat each other. Documents are told apart by their id, null included, and a
@@ -291,19 +292,20 @@ def remove_repeats(
 
     def cut(batches):
         for batch in batches:
-            size, kept, spans = [], [], []
+            size, kept, texts, spans = [], [], [], []
             for text, found in zip(batch.column("text"), batch.column("starts"), strict=True):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 rest, runs = cut_spans(raw, found.as_py(), length) if found.is_valid else (raw, [])
                 size.append(len(raw))
                 kept.append(rest)
+                texts.append(rest.decode("utf-8", "ignore") if runs else None)
                 spans.append(runs)
             kind = pa.list_(pa.struct([("begin", pa.int64()), ("upto", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(size, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, kind)],
-                ["row", "n_bytes", "kept", "spans"],
+                [batch.column("row"), pa.array(size, pa.int64()), pa.array(kept, pa.binary()), pa.array(texts, pa.string()), pa.array(spans, kind)],
+                ["row", "n_bytes", "kept", "kept_text", "spans"],
             )
 
     joined = docs.join(starts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("sig") == F.col("s")), "left")
-    kinds = row_and(docs, "n_bytes bigint, kept binary, spans array<struct<begin:bigint,upto:bigint>>")
+    kinds = row_and(docs, "n_bytes bigint, kept binary, kept_text string, spans array<struct<begin:bigint,upto:bigint>>")
     return joined.select("row", "text", "starts").mapInArrow(cut, kinds)
