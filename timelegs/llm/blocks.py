@@ -22,6 +22,7 @@ from timelegs.llm.textkeys import U64
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 SCHEMA = "block bigint, doc_id array<bigint>, sizes array<int>, body binary"
+TOTALS = "block bigint, bucket int, body binary, present bigint, mass bigint, largest array<struct<key:bigint,total:bigint>>"
 SHIFT = 24  # a block has less documents than 2**SHIFT, since each takes a byte at least
 
 
@@ -93,6 +94,7 @@ def key_totals(
     answer: Callable[[np.ndarray], np.ndarray],
     buckets: int,
     weight: str = "u1",
+    top: int = 0,
 ) -> DataFrame:
     """For each block, what ``answer`` makes of the totals of its keys over all blocks.
 
@@ -100,7 +102,8 @@ def key_totals(
     of ``weight``). A key goes out once per block, however often it occurs, so no key's share of
     the rows matters. ``answer`` maps totals to an array of bytes; ``read_answers`` puts the
     answers in the order of the block's keys. Returned: block, bucket, body, and on one row of
-    each bucket the number of its keys with a total above zero and the sum of all its totals.
+    each bucket the number of its keys with a total above zero, the sum of all its totals and its
+    ``top`` keys of largest total.
     """
     edges = np.array([-(-(j << 64) // buckets) for j in range(1, buckets)], U64)
 
@@ -135,6 +138,9 @@ def key_totals(
         first = np.zeros(len(parts), np.int64)
         present, mass = first.copy(), first.copy()
         present[0], mass[0] = np.count_nonzero(sums), sums.sum()
+        names = keys[new]
+        best = np.lexsort((names, -sums))[:top]
+        largest = [[{"key": int(k), "total": int(n)} for k, n in zip(names[best].view(np.int64), sums[best], strict=True)]] + [[]] * (len(parts) - 1)
         return pa.table(
             {
                 "block": table.column("block"),
@@ -142,11 +148,12 @@ def key_totals(
                 "body": pa.array([squeeze.compress(answer(back[e - len(p) : e]).tobytes()) for p, e in zip(parts, ends, strict=True)], pa.binary()),
                 "present": present,
                 "mass": mass,
+                "largest": pa.array(largest, pa.list_(pa.struct([("key", pa.int64()), ("total", pa.int64())]))),
             }
         )
 
     spread_out = blocks.mapInArrow(spread, "block bigint, bucket int, keys binary, counts binary")
-    return spread_out.groupBy("bucket").applyInArrow(total, "block bigint, bucket int, body binary, present bigint, mass bigint")
+    return spread_out.groupBy("bucket").applyInArrow(total, TOTALS)
 
 
 def gather_answers(totals: DataFrame, name: str) -> DataFrame:
