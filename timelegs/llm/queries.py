@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timelegs.llm import anchor_dedup, curriculum, decontaminate, jaccard_join, language_id, lbl_model, suffix_dedup
+from timelegs.llm import anchor_dedup, curriculum, decontaminate, jaccard_join, language_id, lbl_model, risk_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,11 @@ ORACLES["op7_curriculum_mix"] = curriculum.MIX_SQL.format(documents="documents")
 def op4_lbl_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     # crc32 of doc_id as text, modulo 7, is 2 for the held-out fold
     return lbl_model.score_corpus(table(spark, sf_dir, "documents"), lambda doc_id: zlib.crc32(str(doc_id).encode()) % 7 != 2)
+
+
+@query
+def op8_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op8_risk_rules"] = risk_rules.JUDGE_SQL
