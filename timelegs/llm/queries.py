@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timelegs.llm import anchor_dedup, curriculum, decontaminate, jaccard_join, language_id, lbl_model, risk_rules, suffix_dedup
+from timelegs.llm import anchor_dedup, chat_snapshots, curriculum, decontaminate, jaccard_join, language_id, lbl_model, risk_rules, suffix_dedup, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,17 @@ def op8_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_risk_rules"] = risk_rules.JUDGE_SQL
+
+
+@query
+def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_snapshots.format_chats(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op2_chat_snapshots"] = chat_snapshots.FORMAT_SQL
+
+
+@query
+def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return weak_quality.classify(docs, weak_quality.train(docs))
