@@ -107,7 +107,7 @@ def test_split_and_broadcast_joins_agree_with_a_plain_one(spark, how):
     plain = fact.join(lookup, fact["k"] == lookup["key"], how).drop("key")
     broadcast = joins.lookup_join(fact, lookup, {"k": "key"}, how)
     shuffled = joins.lookup_join(fact, lookup, {"k": "key"}, how, row_limit=5)
-    uneven = joins.hot_key_join(fact, lookup, {"k": "key"}, how, share=4, splits=5)
+    uneven = joins.hot_key_join(fact, lookup, {"k": "key"}, how, rows_per_task=20)
     key = lambda r: tuple(-1 if v is None else v for v in r)
     expected = sorted(map(key, plain.collect()))
     for df in (broadcast, shuffled, uneven):
@@ -118,7 +118,7 @@ def test_split_and_broadcast_joins_agree_with_a_plain_one(spark, how):
 def test_null_keys_stay_unmatched(spark):
     fact = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
     lookup = spark.createDataFrame([(1, "a"), (None, "b")], "key int, name string")
-    found = joins.hot_key_join(fact, lookup, {"k": "key"}, share=2)
+    found = joins.hot_key_join(fact, lookup, {"k": "key"}, rows_per_task=20)
     assert sorted((r["v"], r["name"]) for r in found.collect()) == [(1, None), (2, None), (3, "a")]
 
 
@@ -131,12 +131,34 @@ def test_size_decides_the_join(spark):
     assert "_lookup_split" in inspect.plan_text(large, "extended")
 
 
-def test_hot_keys_are_found_and_few(spark):
+def test_hot_keys_are_found_with_their_parts(spark):
     fact, _ = sides(spark)
-    assert [r["k"] for r in joins.hot_keys(fact, ["k"], share=4).collect()] == [7]
+    count = fact.filter("k = 7").count()
+    found = joins.hot_keys(fact, ["k"], rows_per_task=count // 3)
+    assert [(r["k"], r["_splits"]) for r in found if r["k"] == 7] == [(7, -(-count // (count // 3)))]
     even = spark.range(0, 1000).select((F.col("id") % 10).alias("k"))
-    assert joins.hot_keys(even, ["k"], share=10).count() == 10
-    assert joins.hot_keys(even, ["k"], share=9).count() == 0
+    assert len(joins.hot_keys(even, ["k"], rows_per_task=99)) == 10
+    assert joins.hot_keys(even, ["k"], rows_per_task=100) == []
+
+
+@pytest.mark.parametrize("hot", ["NULL", "3"])
+def test_no_partition_gets_a_hot_key_whole(spark, hot):
+    """Half of the rows have no key, or one key; adaptive skew handling is off."""
+    fact = spark.range(0, 40_000).selectExpr(
+        f"CASE WHEN id % 2 = 0 THEN CAST({hot} AS BIGINT) ELSE id END AS k", "id"
+    )
+    lookup = spark.range(0, 40_000, 3).select(F.col("id").alias("key"), F.lit("x").alias("v"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        joined = joins.hot_key_join(fact, lookup, {"k": "key"}, "left", rows_per_task=400)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 40_000 and max(sizes) <= 2 * 40_000 / 8
 
 
 def test_a_hot_key_is_spread_the_same_way_each_time(spark):

@@ -8,15 +8,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Narrow dimension rows of a few hundred bytes: at most some hundred MB per executor.
 BROADCAST_ROW_LIMIT = 1_000_000
 
-# A key is hot from 1/HOT_SHARE of all rows on, so there are at most HOT_SHARE hot keys.
-HOT_SHARE = 1_000
-SPLITS = 64
+# A key with more rows than this is split into parts of about so many.
+ROWS_PER_TASK = 1_000_000
+# Never more hot keys than this, whatever the number of rows: their list is broadcast.
+MOST_HOT_KEYS = 10_000
+# Rows without a key match nothing; they are dealt over so many parts.
+NULL_PARTS = 1 << 20
 
 
 def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
@@ -49,11 +53,16 @@ def lookup_join(
     return _without(joined, lookup, on, how)
 
 
-def hot_keys(fact: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``1/share`` of the rows: at most ``share`` of them."""
+def hot_keys(fact: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> list[Row]:
+    """Keys with more than ``rows_per_task`` rows, and in ``_splits`` how many tasks they need.
+
+    One pass over the keys. At most ``MOST_HOT_KEYS`` come to the driver: a key that would need
+    more room on the list holds less than that share of the rows.
+    """
     counts = fact.dropna(how="any", subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(F.col("_rows") * share >= total).select(*keys)
+    large = counts.filter(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"), *keys)
+    splits = F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_splits")
+    return large.limit(MOST_HOT_KEYS).select(*keys, splits).collect()
 
 
 def hot_key_join(
@@ -61,35 +70,39 @@ def hot_key_join(
     lookup: DataFrame,
     on: dict[str, str],
     how: str = "left",
-    share: int = HOT_SHARE,
-    splits: int = SPLITS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Shuffled equi join whose hot keys are split.
+    """Shuffled equi join whose hot keys are split and whose rows without a key are dealt out.
 
-    Rows of a hot key go to ``splits`` buckets, and only the lookup rows of hot keys are
-    repeated to meet them; all others stay in bucket 0. The list of hot keys has a fixed
-    upper bound, so it is broadcast to both sides. The bucket is a hash of the row, not a
-    random number: a task that is run again after a lost executor puts its rows in the same
-    buckets.
+    Rows of a hot key go to as many parts as they need tasks, and only the lookup rows of hot
+    keys are repeated to meet them; all others are in part 0. Where nothing is hot it is a plain
+    join. The part is a hash of the row, not a random number: a task that is run again after a
+    lost executor puts its rows in the same parts.
     """
     left_keys, right_keys = list(on), list(on.values())
-    hot = hot_keys(fact, left_keys, share).select(
-        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(left_keys)], F.lit(True).alias("_is_hot")
-    )
-
-    def mark(df: DataFrame, keys: list[str]) -> DataFrame:
-        same = reduce(lambda a, b: a & b, [df[k] == hot[f"_hot_{i}"] for i, k in enumerate(keys)])
-        names = [f"_hot_{i}" for i in range(len(keys))]
-        return df.join(F.broadcast(hot), same, "left").drop(*names)
-
-    bucket = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*fact.columns), F.lit(splits)).cast("int"))
-    spread = mark(fact, left_keys).withColumn("_split", F.coalesce(bucket, F.lit(0))).drop("_is_hot")
-    copies = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(splits - 1)))
-    repeated = (
-        mark(lookup, right_keys)
-        .withColumn("_lookup_split", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        .drop("_is_hot")
-    )
+    names = [f"_hot_{i}" for i in range(len(on))]
+    found = hot_keys(fact, left_keys, rows_per_task)
+    place = F.xxhash64(*fact.columns)
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
+    part = F.when(missing, F.pmod(place, F.lit(NULL_PARTS)) + 1).otherwise(F.lit(0))
+    parts = F.array(F.lit(0))
+    marked_fact, marked_lookup = fact, lookup
+    if found:
+        types = [fact.select(k).schema[0].dataType for k in left_keys]
+        schema = StructType([StructField(n, t) for n, t in zip(names, types)])
+        hot = fact.sparkSession.createDataFrame(
+            [tuple(r) for r in found], schema.add("_splits", "integer")
+        )
+
+        def mark(df: DataFrame, keys: list[str]) -> DataFrame:
+            same = reduce(lambda a, b: a & b, [df[k] == hot[n] for k, n in zip(keys, names)])
+            return df.join(F.broadcast(hot), same, "left").drop(*names)
+
+        marked_fact, marked_lookup = mark(fact, left_keys), mark(lookup, right_keys)
+        part = F.coalesce(F.pmod(place, F.col("_splits")), part)
+        parts = F.coalesce(F.sequence(F.lit(0), F.col("_splits") - 1), parts)
+    spread = marked_fact.withColumn("_split", part.cast("int")).drop("_splits")
+    repeated = marked_lookup.withColumn("_lookup_split", F.explode(parts)).drop("_splits")
     condition = _equal(spread, repeated, on) & (spread["_split"] == repeated["_lookup_split"])
     joined = spread.join(repeated, condition, how)
     return _without(joined, repeated, on, how).drop("_split", "_lookup_split")
