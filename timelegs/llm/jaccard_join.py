@@ -11,10 +11,11 @@ the sizes keep the product sparse, and none loses a pair at or above the thresho
 * A pair stays if its accumulated overlap reaches t times the union.
 
 Documents with equal sets are one row of the matrix. The product is first taken of each column's
-leader (its smallest document) with the column's other documents. Columns whose documents are then
-all in one component are done, since more links would not change it. The other columns are cut
-into tiles of bounded size, and every pair of tiles is multiplied in a task of its own; tiles
-return links, never all pairs.
+leader (of a group of edited copies, the one nearest to all) with the column's other documents.
+Columns whose documents are then all in one component are done, since more links would not change
+it. Of the other columns, the documents outside the most frequent component are multiplied with
+all, in pairs of tiles of bounded size, each in a task of its own; tiles return links, never all
+pairs.
 """
 
 from __future__ import annotations
@@ -54,8 +55,9 @@ def document_sets(b: Block, width: int) -> list[np.ndarray]:
 
 
 def shared_sets(docs: DataFrame, space: Workspace, width: int, percent: int) -> DataFrame:
-    """uid, doc_id, n, sig, postings, shingles of each document; see the module for postings.
+    """uid, doc_id, n, alone, sig, postings, shingles of each document; see the module for postings.
 
+    ``alone`` counts the shingles that no other document has; they come first in the order.
     ``shingles`` is null for documents without postings, which link with no other set.
     """
     blocks = space.write(make_blocks(docs), "blocks", "none")
@@ -80,12 +82,13 @@ def shared_sets(docs: DataFrame, space: Workspace, width: int, percent: int) ->
             if len(keys):
                 keys = keys[np.append(True, keys[1:] != keys[:-1])]
             classes = read_answers(b.row["classes"], "u1")
-            sig, postings, kept = [], [], []
+            sig, postings, kept, single = [], [], [], []
             for s in sets:
                 sig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 c = classes[np.searchsorted(keys, s)]
                 prefix = len(s) - -(-percent * len(s) // 100) + 1
                 alone = np.count_nonzero(c == 0)
+                single.append(alone)
                 if len(s) and alone < prefix:
                     shared = np.flatnonzero(c)
                     order = shared[np.argsort(c[shared], kind="stable")]
@@ -98,6 +101,7 @@ def shared_sets(docs: DataFrame, space: Workspace, width: int, percent: int) ->
                     "uid": (np.int64(b.block) << SHIFT) + np.arange(len(sets)),
                     "doc_id": pa.array(b.doc_id, pa.int64()),
                     "n": np.array([len(s) for s in sets], np.int64),
+                    "alone": np.array(single, np.int64),
                     "sig": pa.array(sig, pa.binary()),
                     "postings": pa.array(postings, pa.list_(pa.int64())),
                     "shingles": pa.array(kept, pa.binary()),
@@ -105,7 +109,7 @@ def shared_sets(docs: DataFrame, space: Workspace, width: int, percent: int) ->
             )
 
     out = blocks.join(answers, "block", "left").mapInArrow(
-        rows, "uid bigint, doc_id bigint, n bigint, sig binary, postings array<bigint>, shingles binary"
+        rows, "uid bigint, doc_id bigint, n bigint, alone bigint, sig binary, postings array<bigint>, shingles binary"
     )
     out = space.write(out, "sets")
     space.drop("blocks")
@@ -123,13 +127,39 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def live_columns(sets: DataFrame, percent: int) -> DataFrame:
+    """h, node, n, alone: the columns of the matrix, without entries that can start no pair.
+
+    If a column is the first that two sets of sizes n and m share, and it is at place p of the
+    first set (from 0), they share n - p at most, which must reach the overlap that the threshold
+    asks for, t / (1 + t) (n + m). An entry that fails this for the smallest m of its column goes.
+    """
+    entries = sets.select("node", "n", "alone", F.posexplode("postings").alias("p", "h"))
+    smallest = entries.groupBy("h").agg(F.min("n").alias("m"), F.count("*").alias("k")).filter("k > 1")
+    enough = (F.col("n") - F.col("alone") - F.col("p")) * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    return entries.join(smallest, "h").filter(enough).select("h", "node", "n", "alone")
+
+
+def may_link(a: str, b: str, percent: int):
+    """Whether sizes and shared shingles of two sets allow the threshold."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    shared = F.least(n - F.col(f"{a}.alone"), m - F.col(f"{b}.alone"))
+    return (shared * (100 + percent) >= (n + m) * percent) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+
+
 def leader_links(columns: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the smallest set of each column and the column's other sets."""
-    leaders = columns.groupBy("h").agg(F.min(F.struct("n", "node")).alias("lead"), F.count("*").alias("k"))
+    """Links between a leader of each column and the column's other sets.
+
+    The leader is the set with the least share of shingles of its own: of a group of edited
+    copies, the one that the others are nearest to.
+    """
+    rank = F.struct((F.col("alone") / F.col("n")).alias("share"), "n", "alone", "node")
+    leaders = columns.groupBy("h").agg(F.min(rank).alias("lead"))
     pairs = (
-        columns.join(leaders.filter("k > 1"), "h")
+        columns.withColumn("own", F.struct("n", "alone"))
+        .join(leaders, "h")
         .filter(F.col("node") != F.col("lead.node"))
-        .filter(F.col("lead.n") * 100 >= F.col("n") * percent)
+        .filter(may_link("lead", "own", percent))
         .select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
@@ -148,39 +178,43 @@ def leader_links(columns: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 def tile_links(columns: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components within columns, tile by tile.
 
-    Columns with the same documents are taken once. A document of a column of k documents goes to
-    k / TILE tasks, each of which holds two tiles.
+    Columns with the same documents are taken once. In a column, the documents outside its most
+    frequent component are multiplied with all of its documents: tiles of the former with tiles of
+    all, two tiles a task.
     """
     labelled = columns.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = labelled.groupBy("h", "component").agg(
+        F.count("*").alias("c"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
+    )
     opened = (
-        labelled.groupBy("h")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count("*").alias("k"),
-            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
-        )
-        .filter("low <> high")
+        sizes.groupBy("h")
+        .agg(F.count("*").alias("d"), F.sum("c").alias("k"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"), F.max(F.struct("c", "component")).alias("most"))
+        .filter("d > 1")
         .groupBy("k", "s", "x")
-        .agg(F.min("h").alias("h"))
-        .select("h", F.ceil(F.col("k") / TILE).cast("int").alias("tiles"))
+        .agg(F.min(F.struct("h", "most")).alias("one"))
+        .select(
+            F.col("one.h").alias("h"),
+            F.col("one.most.component").alias("most"),
+            F.ceil(F.col("k") / TILE).cast("int").alias("tiles"),
+            F.ceil((F.col("k") - F.col("one.most.c")) / TILE).cast("int").alias("others"),
+        )
+    )
+    placed = labelled.join(opened, "h").withColumn("at", F.xxhash64("node"))
+    every = placed.select(
+        "h", "node", "component", F.lit(False).alias("other"), F.pmod("at", "tiles").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("j")
     )
-    tiles = (
-        labelled.join(opened, "h")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("h", "node", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-        .join(sets.select("node", "shingles"), "node")
+    other = placed.filter("component <> most").select(
+        "h", "node", "component", F.lit(True).alias("other"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"), F.pmod("at", "others").cast("int").alias("j")
     )
+    tiles = every.unionByName(other).join(sets.select("node", "shingles"), "node")
 
     def multiply(table: pa.Table) -> pa.Table:
-        node, component, own = (table.column(c).to_numpy() for c in ("node", "component", "own"))
+        node, component = (table.column(c).to_numpy().tolist() for c in ("node", "component"))
+        other = np.array(table.column("other").to_pylist())
         found = [np.frombuffer(x.as_buffer(), U64) for x in table.column("shingles")]
-        size = np.array([len(s) for s in found])
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        order = np.argsort(size, kind="stable")
-        of = {int(c): int(c) for c in np.unique(component)}
+        of = {c: c for c in component}
 
         def root(c):
             while of[c] != c:
@@ -188,13 +222,9 @@ def tile_links(columns: DataFrame, labels: DataFrame, sets: DataFrame, percent:
             return c
 
         a, b = [], []
-        for at, x in enumerate(order):
-            for y in order[at + 1 :]:
-                if 100 * size[x] < percent * size[y]:
-                    break
-                if i != j and own[x] == own[y]:
-                    continue  # the tile with itself has a task of its own
-                rx, ry = root(int(component[x])), root(int(component[y]))
+        for x in np.flatnonzero(other):
+            for y in np.flatnonzero(~other):
+                rx, ry = root(component[x]), root(component[y])
                 if rx != ry and _similar(found[x], found[y], percent):
                     of[rx] = ry
                     a.append(node[x])
@@ -220,11 +250,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = space.write(
         every.filter("shingles IS NOT NULL")
         .join(classes.select(F.col("node").alias("uid")), "uid", "left_semi")
-        .select(F.col("uid").alias("node"), "n", "postings", "shingles"),
+        .select(F.col("uid").alias("node"), "n", "alone", "postings", "shingles"),
         "matrix",
     )
-    columns = sets.select("node", "n", F.explode("postings").alias("h"))
-    links = space.write(leader_links(columns, sets, percent), "leader_links")
+    columns = space.write(live_columns(sets, percent), "columns")
+    links = space.write_in_small_batches(leader_links(columns, sets, percent), "leader_links")
     labels = space.write(connected_components(links, space, "first"), "labels")
     more = space.write(tile_links(columns, labels, sets, percent), "tile_links")
     labels = space.write(connected_components(links.unionByName(more), space, "second"), "all_labels")

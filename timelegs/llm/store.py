@@ -36,16 +36,25 @@ class Workspace:
     def write(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
         """``df`` written once and read back, so that later plans start at the files.
 
-        The shuffle files of the finished job are released at once, not at some later
-        garbage collection, so that disk use is that of one phase.
+        The shuffle files of the jobs before are released first, not at some later garbage
+        collection, so that disk use is that of one phase.
         """
-        df.write.option("compression", compression).parquet(f"{self.path}/{name}")
-        schema = df.schema
-        del df
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
+        df.write.option("compression", compression).parquet(f"{self.path}/{name}")
+        schema = df.schema
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
+    def write_in_small_batches(self, df: DataFrame, name: str, rows: int = 128) -> DataFrame:
+        """``write`` for a frame whose tasks get very large rows from Spark: fewer of them at a time."""
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, rows)
+        try:
+            return self.write(df, name)
+        finally:
+            self.spark.conf.set(setting, before)
+
     def drop(self, name: str) -> None:
         """Delete a table that no later plan reads."""
         jvm = self.spark.sparkContext._jvm
