@@ -190,3 +190,21 @@ def test_percentage_of_nothing_is_zero(spark):
         spark, [(1, 3), (0, 0)], "a int, b int", measures.percentage(F.col("a"), F.col("b"))
     )
     assert found == [(33.3333,), (0.0,)]
+
+
+def test_white_space_of_every_kind_is_stripped(spark):
+    df = spark.createDataFrame([("\t\n", "\u00a0Alpha \r\n")], "a string, b string")
+    assert df.select(text.first_non_blank("a", "b")).first()[0] == "Alpha"
+
+
+@pytest.mark.parametrize("n", [1, 10_000, 3_000_000])
+def test_exact_quantile_is_exact_at_every_size(spark, n):
+    df = spark.range(n).select((F.pmod(F.col("id") * 7919, F.lit(n)) * 0.5).alias("x"))
+    for p in (0.0, 0.5, 0.95, 1.0):
+        assert measures.exact_quantile(df, "x", p) == (max(1, math.ceil(p * n)) - 1) * 0.5
+
+
+def test_exact_quantile_of_ties_and_gaps(spark):
+    df = spark.createDataFrame([(None,)] + [(1.0,)] * 6 + [(2.0,)] * 3 + [(9.0,)], "x double")
+    assert [measures.exact_quantile(df, "x", p) for p in (0.1, 0.6, 0.61, 0.9, 0.95)] == [1.0, 1.0, 2.0, 2.0, 9.0]
+    assert measures.exact_quantile(df.filter("x > 10"), "x", 0.5) is None

@@ -34,7 +34,7 @@ def quick():
     ]
 
 
-def test_fixed_settings():
+def test_fixed_settings(spark):
     found = {c.name: c for c in modelling.candidates()}
     forest = found["Random Forest"].estimator
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSubsamplingRate()) == (40, 10, 0.8)

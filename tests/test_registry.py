@@ -17,7 +17,7 @@ TABLES = (
 ).split()
 
 # Training runs are covered by the modelling tests; here one model is enough.
-ROWS_ONLY = {"split_summary", "model_comparison", "anomaly_scores", "residual_sample", "feature_importance"}
+ROWS_ONLY = {"split_summary", "model_comparison", "anomaly_scores", "feature_importance"}
 
 
 @pytest.fixture(scope="module")

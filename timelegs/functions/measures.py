@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timelegs.functions.text import col
@@ -10,16 +12,46 @@ from timelegs.functions.text import col
 # Fixed value: sketch accuracy; the rank error is at most rows / accuracy.
 QUANTILE_ACCURACY = 10_000
 
+# So many values are put in order by one task.
+FEW_VALUES = 100_000
+
 
 def quantile(value: Column | str, p: float, accuracy: int = QUANTILE_ACCURACY) -> Column:
     """Quantile that is an element of the data, from a bounded, mergeable sketch.
 
-    With fewer rows than ``accuracy`` the answer is exact. Raise ``accuracy`` for a
-    tighter answer; memory per group stays bounded by it, however many rows there are.
+    The rank of the answer is off by ``rows / accuracy`` at most; memory per group is bounded
+    by ``accuracy``. Where the rank has to be right, use ``exact_quantile``.
     """
     return F.percentile_approx(col(value), F.lit(p), F.lit(accuracy))
 
 
+def exact_quantile(df: DataFrame, value: str, p: float) -> float | None:
+    """The element of rank ``ceil(p n)`` of the known values, whatever their number.
+
+    Sketches of the values that are still in question give two bounds around the rank; the
+    values between the bounds are in question next, with the number of those below them. Each
+    round leaves about two in ``QUANTILE_ACCURACY / 2`` rows, until few values are left.
+    """
+    inside = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
+    size = inside.count()
+    rank, below = max(1, math.ceil(p * size)), 0
+    while size:
+        share, step = (rank - below) / size, 2 / QUANTILE_ACCURACY
+        ends = F.array(F.lit(max(0.0, share - step)), F.lit(min(1.0, share + step)))
+        low, high = inside.agg(F.percentile_approx("v", ends, F.lit(QUANTILE_ACCURACY))).first()[0]
+        if low == high:
+            return low
+        within = F.col("v").between(F.lit(low), F.lit(high))
+        counts = inside.agg(F.count_if(F.col("v") < F.lit(low)), F.count_if(within)).first()
+        below, before, size = below + counts[0], size, counts[1]
+        inside = inside.filter(within)
+        if size <= FEW_VALUES or size == before:
+            break
+    held = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    running = F.sum("n").over(Window.orderBy("v")) + F.lit(below)
+    return held.withColumn("rank", running).filter(F.col("rank") >= rank).agg(F.min("v")).first()[0]
+
+
 def percent_of_flags(flag: Column | str, digits: int = 4) -> Column:
     """Mean of a 0/1 flag as a percentage."""
     return F.round(F.lit(100.0) * F.avg(col(flag)), digits)

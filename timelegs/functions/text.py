@@ -8,6 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters that count as white space around a value.
+WHITESPACE = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -28,9 +34,14 @@ def all_present(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [~is_blank(c) for c in columns])
 
 
+def stripped(c: Column | str) -> Column:
+    """The text without white space of any kind around it; ``non_blank`` knows spaces only."""
+    return F.btrim(col(c), F.lit(WHITESPACE))
+
+
 def first_non_blank(*columns: Column | str, default: str | None = None) -> Column:
-    """The first listed value that is not blank, trimmed."""
-    candidates = [non_blank(c) for c in columns]
+    """The first listed value that is not blank, without white space around it."""
+    candidates = [F.nullif(stripped(c), F.lit("")) for c in columns]
     if default is not None:
         candidates.append(F.lit(default))
     return F.coalesce(*candidates)

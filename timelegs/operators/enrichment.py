@@ -108,18 +108,21 @@ def match_counters(enriched: DataFrame) -> DataFrame:
     )
 
 
-def distance_statistics(
-    enriched: DataFrame, accuracy: int = measures.QUANTILE_ACCURACY
-) -> DataFrame:
-    """One row over the positive distances."""
+def distance_statistics(enriched: DataFrame) -> DataFrame:
+    """One row over the positive distances; the quantiles are exact."""
     v = "distance_km"
-    return enriched.filter(F.col(v) > 0).agg(
+    positive = enriched.filter(F.col(v) > 0)
+
+    def exact(p: float):
+        return F.lit(measures.exact_quantile(positive, v, p)).cast("double")
+
+    return positive.agg(
         F.round(F.avg(v), 6).alias("mean_distance_km"),
         F.round(F.stddev_samp(v), 6).alias("standard_deviation_distance_km"),
         F.round(F.min(v), 6).alias("minimum_distance_km"),
-        measures.quantile(v, 0.50, accuracy).alias("median_distance_km"),
-        measures.quantile(v, 0.95, accuracy).alias("percentile_95_distance_km"),
-        measures.quantile(v, 0.99, accuracy).alias("percentile_99_distance_km"),
+        exact(0.50).alias("median_distance_km"),
+        exact(0.95).alias("percentile_95_distance_km"),
+        exact(0.99).alias("percentile_99_distance_km"),
         F.round(F.max(v), 6).alias("maximum_distance_km"),
     )
 

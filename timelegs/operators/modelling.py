@@ -8,6 +8,7 @@ metrics per model.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ from pyspark.storagelevel import StorageLevel
 
 from timelegs.functions import measures
 from timelegs.operators.quality import require_columns
+from timelegs.sources.stage import remove_folder, shared_folder
 from timelegs.schemas import (
     CATEGORICAL_FEATURES,
     MODEL_RESULTS,
@@ -33,15 +35,14 @@ from timelegs.schemas import (
     PREDICTION_IDENTIFIERS,
 )
 
-# Split, seed, sketch accuracy of the threshold, report sizes.
+# Split, seed, point of the threshold, report sizes.
 SPLIT_BUCKETS = 100
 TRAIN_BUCKETS = 80
 SEED = 42
 THRESHOLD_POINT = 0.95
-THRESHOLD_ACCURACY = 1_000
 TOP_ANOMALIES = 100
 RESIDUAL_SAMPLE_FRACTION = 0.20
-RESIDUAL_SAMPLE_ROWS = 20_000
+SAMPLED_BY = ("source_file", "vehicle_journey_code", "segment_key", "departure_time")
 
 # Stands for an unknown number, such as the hour of an unreadable departure time. It lies
 # outside every feature's range; the linear learner accepts no NaN.
@@ -160,15 +161,18 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
 
 @dataclass
 class PreparedData:
-    """Encoded rows of both sides, kept for the iterations of training."""
+    """Encoded rows of both sides, kept for the iterations of training until ``release``."""
 
     train: DataFrame
     test: DataFrame
     encoder: PipelineModel
+    folder: str
 
     def release(self) -> None:
+        """Let go of the rows and delete what was written of them; both frames end with it."""
         self.train.unpersist()
         self.test.unpersist()
+        remove_folder(self.train.sparkSession, self.folder)
 
 
 def fixed_layout(df: DataFrame) -> DataFrame:
@@ -182,32 +186,36 @@ def fixed_layout(df: DataFrame) -> DataFrame:
     )
 
 
-def keep_for_reuse(df: DataFrame) -> DataFrame:
-    """Hold rows that many jobs read.
+def keep_for_reuse(df: DataFrame, folder: str) -> DataFrame:
+    """Rows that many jobs read, written to a shared folder and held on top.
 
-    Where the cluster names a shared checkpoint folder, the rows are written there first:
-    a lost executor then costs a re-read of its partitions, not the whole lineage again.
+    A lost executor then costs a re-read of its partitions, not the whole lineage again.
     """
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        df = df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.sparkSession.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def prepare(enriched: DataFrame) -> PreparedData:
-    """Split, check the split, fit the encoder on the training side, encode both sides."""
+def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
+    """Split, check the split, fit the encoder on the training side, encode both sides.
+
+    What is kept goes to ``folder``, by default a new one in the session's shared folder.
+    """
+    spark = enriched.sparkSession
+    folder = f"{folder or shared_folder(spark)}/training-{uuid.uuid4().hex}"
     needed = {*CATEGORICAL_FEATURES, *NUMERIC_FEATURES, *PREDICTION_IDENTIFIERS}
     require_columns(enriched, sorted(needed), "enriched segments")
     columns = list(dict.fromkeys([*PREDICTION_IDENTIFIERS, *sorted(needed), "label"]))
     known = modelling_rows(enriched).select(*columns).fillna(GAP_VALUE, NUMERIC_FEATURES)
-    rows = keep_for_reuse(fixed_layout(known))
+    rows = keep_for_reuse(fixed_layout(known), folder)
     train, test = split_rows(rows)
     require_no_leakage(train, test)
     encoder = feature_stages().fit(train)
     kept = [*PREDICTION_IDENTIFIERS, "label", "features"]
     prepared = PreparedData(
-        keep_for_reuse(encoder.transform(train).select(*kept)),
-        keep_for_reuse(encoder.transform(test).select(*kept)),
+        keep_for_reuse(encoder.transform(train).select(*kept), folder),
+        keep_for_reuse(encoder.transform(test).select(*kept), folder),
         encoder,
+        folder,
     )
     prepared.train.count()
     prepared.test.count()
@@ -348,12 +356,11 @@ def add_residuals(
 
 
 def residual_threshold(
-    train_residuals: DataFrame, point: float = THRESHOLD_POINT, accuracy: int = THRESHOLD_ACCURACY
+    train_residuals: DataFrame, point: float = THRESHOLD_POINT
 ) -> DataFrame:
-    """One row: the absolute error that all but the largest training errors stay within."""
-    return train_residuals.agg(
-        measures.quantile("absolute_error_minutes", point, accuracy).alias("residual_threshold")
-    )
+    """One row: the absolute error that all but the largest training errors stay within, exactly."""
+    limit = measures.exact_quantile(train_residuals, "absolute_error_minutes", point)
+    return train_residuals.sparkSession.createDataFrame([(limit,)], "residual_threshold double")
 
 
 def flag_anomalies(residuals: DataFrame, threshold: DataFrame) -> DataFrame:
@@ -415,18 +422,14 @@ def top_anomalies(flagged: DataFrame, rows: int = TOP_ANOMALIES) -> DataFrame:
     )
 
 
-def residual_sample(
-    flagged: DataFrame,
-    fraction: float = RESIDUAL_SAMPLE_FRACTION,
-    rows: int = RESIDUAL_SAMPLE_ROWS,
-    seed: int = SEED,
-) -> DataFrame:
-    """A seeded Bernoulli sample of the residuals, for a chart."""
-    return (
-        flagged.select("residual_minutes")
-        .sample(withReplacement=False, fraction=fraction, seed=seed)
-        .limit(rows)
-    )
+def residual_sample(flagged: DataFrame, fraction: float = RESIDUAL_SAMPLE_FRACTION) -> DataFrame:
+    """A sample of the residuals, for a chart: rows whose identifiers hash below the fraction.
+
+    The same rows every time, and the same share of every part of the table.
+    """
+    known = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SAMPLED_BY]
+    place = F.substring(F.md5(F.concat_ws("|", *known).cast("binary")), 1, 4)
+    return flagged.filter(place < F.lit(f"{round(fraction * 65536):04x}")).select("residual_minutes")
 
 
 def feature_importance(model: Model, names: Sequence[str], spark) -> DataFrame:

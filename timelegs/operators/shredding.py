@@ -225,6 +225,6 @@ def first_text(document, tags: list[str]):
     """First non-blank text, in document order, among the named descendants of XML text."""
     either = " or ".join(f"local-name()='{t}'" for t in tags)
     path = f"(//*[{either}][normalize-space(text())])[1]/text()"
-    return F.coalesce(F.trim(F.xpath_string(text.col(document), F.lit(path))), F.lit(""))
+    return F.coalesce(text.stripped(F.xpath_string(text.col(document), F.lit(path))), F.lit(""))
 
 

@@ -337,17 +337,18 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "register_files": (
         [],
         f"""
-        SELECT 1 AS part, c_custkey AS pos, {code("c_custkey")} AS code, c_name AS name,
+        SELECT 1 AS part, c_custkey AS pos,
+               CASE WHEN c_acctbal >= 0 THEN {code("c_custkey")} ELSE concat('OLDC', c_custkey) END AS code, c_name AS name,
                c_mktsegment AS locality, '' AS town,
                CASE c_mktsegment WHEN 'MACHINERY' THEN NULL WHEN 'HOUSEHOLD' THEN NULL
                                  ELSE CAST(51.25 AS DOUBLE) END AS lat,
                CAST(-0.5 AS DOUBLE) AS lon, 'BCT' AS stop_type, 'active' AS status,
                lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS area
-        FROM customer WHERE c_acctbal >= 0
+        FROM customer
         UNION ALL
-        SELECT 2, s_suppkey, {code("s_suppkey")}, s_name, '', 'Town', 50.5, 0.0, 'BCS', 'inactive',
+        SELECT 2, s_suppkey, CASE WHEN s_acctbal > 5000 THEN {code("s_suppkey")} ELSE concat('OLDS', s_suppkey) END, s_name, '', 'Town', 50.5, 0.0, 'BCS', 'inactive',
                lpad(CAST(s_nationkey AS VARCHAR), 3, '0')
-        FROM supplier WHERE s_acctbal > 5000
+        FROM supplier
         """,
     ),
     "matched": (

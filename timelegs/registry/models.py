@@ -217,9 +217,18 @@ def anomaly_scores(net):
     return decision_tree_scores(net)
 
 
-@query("residual_sample")
+@query(
+    "residual_sample",
+    """
+    SELECT round(residual_minutes, 6) AS residual_minutes FROM predictions
+    WHERE substr(md5(concat_ws('|', coalesce(source_file, ''), coalesce(vehicle_journey_code, ''),
+                               coalesce(segment_key, ''), coalesce(departure_time, ''))), 1, 4) < '3333'
+    """,
+    ["predictions"],
+)
 def residual_sample(net):
-    return modelling.residual_sample(decision_tree_scores(net))
+    sample = modelling.residual_sample(net.predictions_table)
+    return sample.select(F.round("residual_minutes", 6).alias("residual_minutes"))
 
 
 @query("feature_importance")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from timelegs.operators import analytics, enrichment, stops
 from timelegs.registry.book import query
-from timelegs.sources.sample_network import FINE_ACCURACY
 
 CENTRE = """
     count(*) AS record_count, round(avg(runtime_minutes), 4) AS average_runtime_minutes,
@@ -224,7 +223,7 @@ def stop_role(net):
     ["enriched"],
 )
 def distance_stats(net):
-    statistics = enrichment.distance_statistics(net.enriched, FINE_ACCURACY)
+    statistics = enrichment.distance_statistics(net.enriched_table)
     return statistics.select(*[F.round(c, 6).alias(c) for c in statistics.columns])
 
 

@@ -21,8 +21,6 @@ from timelegs.sources.stage import stage
 
 DEFECT_TAX = 8
 
-# Sketch accuracy of the checks on continuous values: exact below a million rows, bounded beyond.
-FINE_ACCURACY = 1_000_000
 
 
 def _text(c) -> Column:
@@ -310,14 +308,17 @@ class SampleNetwork:
     def register_files(self) -> DataFrame:
         """The register as published: text under its own header spellings.
 
-        Customers who are not in debt come first, suppliers after them, so that a code in
-        both counts with the supplier's row.
+        Customers come first, suppliers after them, so that a code in both counts with the
+        supplier's row. Customers in debt and suppliers of little balance have codes that no
+        timetable names.
         """
         segment = F.col("c_mktsegment")
-        first = self.table("customer").filter("c_acctbal >= 0").select(
+        first = self.table("customer").select(
             F.lit(1).alias("part"),
             F.col("c_custkey").alias("row"),
-            stop_code(F.col("c_custkey")).alias("ATCOCode"),
+            F.when(F.col("c_acctbal") >= 0, stop_code(F.col("c_custkey")))
+            .otherwise(F.concat(F.lit("OLDC"), _text("c_custkey")))
+            .alias("ATCOCode"),
             F.col("c_name").alias("CommonName"),
             segment.alias("LocalityName"),
             F.lit(None).cast("string").alias("Town"),
@@ -330,10 +331,12 @@ class SampleNetwork:
             F.lit(" active ").alias("Status"),
             F.lpad(_text("c_nationkey"), 3, "0").alias("AdministrativeAreaCode"),
         )
-        second = self.table("supplier").filter("s_acctbal > 5000").select(
+        second = self.table("supplier").select(
             F.lit(2).alias("part"),
             F.col("s_suppkey").alias("row"),
-            stop_code(F.col("s_suppkey")).alias("ATCOCode"),
+            F.when(F.col("s_acctbal") > 5000, stop_code(F.col("s_suppkey")))
+            .otherwise(F.concat(F.lit("OLDS"), _text("s_suppkey")))
+            .alias("ATCOCode"),
             F.col("s_name").alias("CommonName"),
             F.lit("").alias("LocalityName"),
             F.lit("Town").alias("Town"),
@@ -376,7 +379,7 @@ class SampleNetwork:
     def flagged_predictions(self) -> DataFrame:
         residuals = modelling.add_residuals(self.mean_predictions)
         return modelling.flag_anomalies(
-            residuals, modelling.residual_threshold(residuals, accuracy=FINE_ACCURACY)
+            residuals, modelling.residual_threshold(residuals)
         )
 
     @cached_property
