@@ -214,6 +214,8 @@ def test_csv_keeps_blanks_and_reads_a_byte_order_mark(spark, raw_row, tmp_path):
     assert record["rows"] == "5"
     assert tables.metric_value(metrics, "name").first()["value"] == "x"
     assert tables.metric_value(metrics, "absent").first()["value"] is None
+    again = spark.createDataFrame([("rows", "9"), ("rows", "10"), ("rows", " ")], METRIC_VALUE).coalesce(1)
+    assert tables.metric_value(again, "rows").first()["value"] == "10"
 
 
 def test_stop_files_load_under_their_layouts(spark, tmp_path):

@@ -81,6 +81,21 @@ def test_header_spellings(spark, tmp_path, header):
     assert (row["stop_ref"], row["naptan_common_name"], row["town"]) == ("140A", "N", "")
 
 
+def test_each_register_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "a b_010.csv").write_text("ATCOCode,CommonName,Longitude,Latitude\n010A,Alpha,-0.1,51.1\n")
+    (tmp_path / "area_020.csv").write_text("AtcoCode,Longitude,Latitude,CommonName\n020B,-0.2,51.2,Beta\n")
+    (tmp_path / "area_030.csv").write_text("status,atcoCode\nactive,\t030C \n")
+    (tmp_path / "area_040.csv").write_text("ATCOCode,CommonName,Longitude,Latitude\n040D,Delta,-0.4,51.4\n")
+    register = stops.normalise_register(tables.read_register(spark, str(tmp_path)))
+    shown = ["stop_ref", "naptan_common_name", "longitude", "latitude", "status", "atco_area_code"]
+    assert rows(register.select(*shown)) == [
+        ("010A", "Alpha", "-0.1", "51.1", "", "010"),
+        ("020B", "Beta", "-0.2", "51.2", "", "020"),
+        ("030C", "", "", "", "active", "030"),
+        ("040D", "Delta", "-0.4", "51.4", "", "040"),
+    ]
+
+
 def test_one_row_per_stop(spark):
     base = [None] * 12
     full = ["A", "n", "n", "l", "t", 1.0, 1.0, 1, "BCT", "active", "1", "1"]
