@@ -62,9 +62,13 @@ def off_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its share of the mix and its training position, in training order."""
-    out = curriculum.mix(docs)
-    return out.select("row.*", "size", "source_size", "target", "taken", "position")
+    """Every document with its share of the mix and its training position, in training order.
+
+    A column of the documents gives way to one of the mix that has its name.
+    """
+    mine = ["size", "source_size", "target", "taken", "position"]
+    out = curriculum.mix(docs, keep=[c for c in docs.columns if c not in mine])
+    return out.select("row.*", *mine)
 
 
 STAGES = [
