@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import functions as F
 
 from timelegs.operators import cleaning, modelling, quality, serving
 from timelegs.plans import batch, inspect
@@ -141,6 +142,13 @@ def test_training_and_serving(spark, run, monkeypatch):
     assert serving.run_query(spark, "best_model", loaded).first()["model_name"] == "Tree"
     counts = {r[0]: r[1] for r in serving.table_counts(loaded).collect()}
     assert counts["model_results"] == 1
+    far = run["stops"].withColumn("latitude", F.lit(91.0))
+    with pytest.raises(quality.ConstraintError, match="stops.latitude_range"):
+        batch.load_serving(
+            spark, far, run["enriched"], results, predictions, comparison.best_name, run["out"]
+        )
+    published = tables.read_parquet(spark, run["out"].at("serving/stops"))
+    assert published.filter("latitude > 90").count() == 0 and published.count() > 0
     with pytest.raises(ValueError, match="not among"):
         batch.load_serving(
             spark, run["stops"], run["enriched"], results, predictions, "Other", run["out"]

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from timelegs.operators import quality, serving
 from timelegs.plans import inspect
-from timelegs.schemas import METRIC_VALUE, STOPS
+from timelegs.schemas import (
+    METRIC_VALUE,
+    SERVING_MODEL_RESULTS,
+    SERVING_PREDICTIONS,
+    SERVING_SEGMENTS,
+    SERVING_STOPS,
+    STOPS,
+)
 from timelegs.sources import sinks, tables
 
 
@@ -261,3 +268,46 @@ def test_projection_reaches_the_scan(spark, network):
     assert "ReadSchema: struct<o_orderkey:bigint>" in inspect.plan_text(df)
     with pytest.raises(quality.MissingColumnsError):
         tables.read_parquet(spark, f"{network.sf_dir}/orders.parquet", ["nope"])
+
+
+def serving_row(table, **changes):
+    """A row of a serving table that breaks no rule, but for the changes."""
+    columns = {
+        "stops": SERVING_STOPS,
+        "model_results": SERVING_MODEL_RESULTS,
+        "segments": ["segment_id", *SERVING_SEGMENTS],
+        "predictions": ["prediction_id", *SERVING_PREDICTIONS],
+    }[table]
+    numbers = {"segment_id": 1, "prediction_id": 1, "r2": 0.5, "predicted_runtime_minutes": 1.0, "residual_minutes": 0.1}
+    return {**{c: VALID.get(c, numbers.get(c, "x")) for c in columns}, **changes}
+
+
+def serving_tables(spark, **rows):
+    out = {}
+    for table in quality.PRIMARY_KEYS:
+        given = rows.get(table, [serving_row(table)])
+        types = {c: {int: "bigint", float: "double", str: "string"}[type(v)] for c, v in serving_row(table).items()}
+        ddl = ", ".join(f"{c} {t}" for c, t in types.items())
+        out[table] = spark.createDataFrame([tuple(r.values()) for r in given], ddl)
+    return out
+
+
+def test_valid_tables_pass(spark):
+    quality.require_constraints(serving_tables(spark))
+
+
+@pytest.mark.parametrize("table", list(RULE_BREAKERS))
+def test_one_bad_row_per_rule_is_named(spark, table):
+    rows = [serving_row(table, **change) for change in RULE_BREAKERS[table]]
+    rows += [serving_row(table, **{c: None}) for c in quality.NOT_NULL[table]]
+    with pytest.raises(quality.ConstraintError) as error:
+        quality.require_constraints(serving_tables(spark, **{table: rows}))
+    for rule in [*quality.RULES[table], *(f"{c}_null" for c in quality.NOT_NULL[table]), "repeated_key"]:
+        assert f"{table}.{rule}: " in str(error.value)
+
+
+@pytest.mark.parametrize("child, column", [(k[0], k[1]) for k in quality.FOREIGN_KEYS])
+def test_unknown_references_are_named(spark, child, column):
+    rows = {child: [serving_row(child, **{column: "nowhere"})]}
+    with pytest.raises(quality.ConstraintError, match=f"{child}.{column}_unknown: 1 rows"):
+        quality.require_constraints(serving_tables(spark, **rows))

@@ -102,6 +102,10 @@ class MissingColumnsError(ValueError):
     """An input lacks columns that its layout requires."""
 
 
+class ConstraintError(RuntimeError):
+    """Rows break the rules of the table that they are loaded into."""
+
+
 class ExpectationError(RuntimeError):
     """A count or a set of columns is not what was expected."""
 
@@ -164,6 +168,37 @@ def fk_violations(tables: Mapping[str, DataFrame], foreign_keys=None) -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
+def table_violations(df: DataFrame, table: str) -> DataFrame:
+    """One row: how many rows of a serving table break each of its NOT NULL and value rules.
+
+    One aggregate over the table; key columns must not be NULL either.
+    """
+    required = [*PRIMARY_KEYS[table], *NOT_NULL[table]]
+    return df.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}_null") for c in required],
+        *[F.count_if(~F.expr(rule)).alias(name) for name, rule in RULES[table].items()],
+    )
+
+
+def require_constraints(tables: Mapping[str, DataFrame]) -> None:
+    """An error with the counts of all broken rules of the serving tables, if there are any.
+
+    Null, value, key and reference rules; a repeated key counts with all of its rows.
+    """
+    broken = {}
+    for table, df in tables.items():
+        found = table_violations(df, table).first().asDict()
+        keys = pk_violations(df, PRIMARY_KEYS[table])
+        found["repeated_key"] = keys.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
+        broken.update({f"{table}.{rule}": n for rule, n in found.items() if n})
+    known = [k for k in FOREIGN_KEYS if k[0] in tables and k[2] in tables]
+    for row in fk_violations(tables, known).collect():
+        if row["orphan_rows"]:
+            broken[f"{row['foreign_key']}_unknown"] = row["orphan_rows"]
+    if broken:
+        raise ConstraintError("; ".join(f"{rule}: {n} rows" for rule, n in sorted(broken.items())))
+
+
 def invalid_segments(segments: DataFrame) -> DataFrame:
     """One row: segments with a run time or distance that is not positive, or with no stops."""
     bad = (

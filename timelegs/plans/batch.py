@@ -6,6 +6,7 @@ row groups, and survives the loss of any executor.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,10 @@ from timelegs.operators import (
     shredding,
     stops,
 )
-from timelegs.operators.quality import key_exists
+from timelegs.operators.quality import key_exists, require_constraints
 from timelegs.operators.records import beside
 from timelegs.sources import journeys_xml, sinks, tables
+from timelegs.sources.stage import remove_folder, replace_folder
 
 
 @dataclass(frozen=True)
@@ -163,7 +165,11 @@ def load_serving(
     out: Layout,
 ) -> dict[str, DataFrame]:
     """The four serving tables, written with the column that lookups name first leading
-    the sort order."""
+    the sort order.
+
+    They are written beside the published ones and checked against all rules there. If any row
+    breaks one, the load stops with the counts and what was published before stays.
+    """
     if not key_exists(results, "model_name", model_name).first()["found"]:
         raise ValueError(f"the model is not among the model results: {model_name}")
     segment_rows = serving.serving_segments(enriched)
@@ -176,9 +182,14 @@ def load_serving(
             prediction_rows, "prediction_id", ["line_ref", "is_model_anomaly"]
         ),
     }
-    loaded = {}
-    for name, df in loads.items():
-        path = out.at(f"serving/{name}")
-        sinks.write_parquet(df, path)
-        loaded[name] = tables.read_parquet(spark, path)
-    return loaded
+    staged = f"serving-{uuid.uuid4().hex}"
+    try:
+        for name, df in loads.items():
+            sinks.write_parquet(df, out.at(f"{staged}/{name}"))
+        require_constraints(
+            {name: tables.read_parquet(spark, out.at(f"{staged}/{name}")) for name in loads}
+        )
+        replace_folder(spark, out.at(staged), out.at("serving"))
+    finally:
+        remove_folder(spark, out.at(staged))
+    return {name: tables.read_parquet(spark, out.at(f"serving/{name}")) for name in loads}

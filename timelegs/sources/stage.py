@@ -30,10 +30,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder.name
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of intermediate files, in whatever store it is."""
+def _placed(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files, in whatever store it is; nothing if it is not there."""
+    place, store = _placed(spark, path)
+    store.delete(place, True)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put a written folder in the place of another one."""
+    remove_folder(spark, path)
+    place, store = _placed(spark, new)
+    if not store.rename(place, _placed(spark, path)[0]):
+        raise OSError(f"cannot rename {new} to {path}")
 
 
 def stage(name: str, build) -> DataFrame:
