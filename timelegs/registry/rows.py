@@ -10,7 +10,8 @@ from timelegs.operators.records import beside
 from timelegs.registry.book import COMPLETE, RAW_COLUMNS, blank, query
 from timelegs.schemas import RAW_SEGMENTS
 from timelegs.sources import sinks
-from timelegs.sources.tables import metrics_record, read_parquet
+from timelegs.sources.stage import new_folder
+from timelegs.sources.tables import metrics_record, read_parquet, read_raw_segments
 
 
 @query(
@@ -271,6 +272,17 @@ def modulo_counts(net):
     )
 
 
+@query(
+    "even_group_counts",
+    """
+    SELECT l_orderkey % 10 AS group_number, count(*) AS "count" FROM lineitem
+    WHERE l_orderkey % 2 = 0 GROUP BY 1
+    """,
+)
+def even_group_counts(net):
+    return profiling.even_group_counts(net.table("lineitem"), "l_orderkey")
+
+
 @query(
     "durations",
     """
@@ -502,6 +514,22 @@ def csv_round_trip(net):
     return unique.select(line).select(back).select("r.*")
 
 
+@query("csv_files", "SELECT * FROM raw", ["raw"])
+def csv_files(net):
+    """All raw rows through CSV files: the shipped writer, then the shipped reader."""
+    path = new_folder(net.spark, "csv")
+    sinks.write_csv(net.raw, path)
+    return read_raw_segments(net.spark, path)
+
+
+@query("parquet_files", "SELECT * FROM raw", ["raw"])
+def parquet_files(net):
+    """All raw rows through Parquet files."""
+    path = new_folder(net.spark, "parquet")
+    sinks.write_parquet(net.raw, path)
+    return read_parquet(net.spark, path, RAW_SEGMENTS.fieldNames())
+
+
 @query(
     "percent_of_flags",
     """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from timelegs.operators import shredding
 from timelegs.registry.book import query
 from timelegs.sources import journeys_xml
+from timelegs.sources.stage import new_folder
 
 
 def parsed_legs(net):
@@ -51,6 +52,35 @@ def xml_round_trip(net):
     )
 
 
+@query(
+    "xml_files",
+    """
+    SELECT concat('VJ', l_orderkey) AS vehicle_journey_code, p_brand AS line_ref,
+           concat('VL', l_linenumber, s.suffix) AS vehicle_timing_link_id,
+           concat('JL', l_partkey) AS journey_pattern_timing_link_ref,
+           CASE WHEN s.suffix = 'a' THEN concat('PT', minutes, 'M', l_linenumber, 'S') ELSE '' END AS runtime_iso
+    FROM lines, (VALUES ('a'), ('b')) s(suffix)
+    """,
+    ["lines"],
+)
+def xml_files(net):
+    """All journeys written as XML files and taken out of them by the shipped reader."""
+    parsed = journeys_xml.parse_documents(
+        net.journey_documents, "xml", journeys_xml.LAYOUTS["VehicleJourney"]
+    )
+    path = new_folder(net.spark, "xml")
+    writer = parsed.select("document.*").write.format("xml")
+    writer.option("rowTag", "VehicleJourney").option("rootTag", journeys_xml.ROOT).save(path)
+    journeys = journeys_xml.read_documents(net.spark, path, "VehicleJourney")
+    return shredding.explode_journeys(journeys).select(
+        "vehicle_journey_code",
+        "line_ref",
+        "vehicle_timing_link_id",
+        "journey_pattern_timing_link_ref",
+        "runtime_iso",
+    )
+
+
 @query(
     "journey_profile",
     """

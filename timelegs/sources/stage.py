@@ -30,6 +30,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder.name
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    return f"{shared_folder(spark).rstrip('/')}/timelegs-{name}-{uuid.uuid4().hex}"
+
+
 def _placed(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
