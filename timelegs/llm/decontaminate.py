@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from timelegs.llm.store import Workspace, row_and, whole_row
+from timelegs.llm.store import Workspace, row_and, row_and_text, text_of
 from timelegs.llm.textkeys import NON_WORD, U64, distinct, grams, utf8, words
 
 WINDOW = 10
@@ -123,11 +124,11 @@ def matches(hashes: np.ndarray, cuts: np.ndarray, t: Tests):
     return t.item[which], start, place, long
 
 
-def scan(batches, t: Tests):
+def scan(batches, t: Tests, text_column: str):
     """Add the matches of one slice of the benchmark to those found before."""
     item_first = np.searchsorted(t.last, np.unique(t.last)) if len(t.last) else np.empty(0, np.int64)
     for batch in batches:
-        data, offsets = utf8(batch.column("text"))
+        data, offsets = utf8(text_of(batch, text_column))
         n_words, found = [], [x or [] for x in batch.column("found").to_pylist()]
         k = 0
         while k < batch.num_rows:
@@ -148,7 +149,7 @@ def scan(batches, t: Tests):
             k = upto
         counts = np.concatenate(n_words).astype(np.int64) if n_words else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("text"), pa.array(found, MATCH_TYPE), pa.array(counts)], ["row", "text", "found", "n_words"]
+            [*batch.columns[:-1], pa.array(found, MATCH_TYPE), pa.array(counts)], [*batch.schema.names, "n_words"]
         )
 
 
@@ -190,17 +191,16 @@ def find_matches(
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     slices = int(total / slice_bytes) + 1
     space = Workspace(spark, "decontaminate")
-    text = docs[f"`{text_column}`"].cast("string").alias("text")
-    frame = docs.select(whole_row(docs, keep), text, F.lit(None).cast(MATCH).alias("found"))
+    frame = docs.select(*row_and_text(docs, text_column, keep), F.lit(None).cast(MATCH).alias("found"))
     for k in range(slices):
         mine = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k).orderBy("item_id").collect()
         tests = spark.sparkContext.broadcast(prepare(mine))
         if k < slices - 1:
-            kinds = row_and(frame, f"text string, found {MATCH}, n_words bigint")
-            frame = frame.mapInArrow(lambda batches, t=tests: scan(batches, t.value), kinds).drop("n_words")
+            kinds = StructType([*frame.schema.fields, StructField("n_words", LongType())])
+            frame = frame.mapInArrow(lambda batches, t=tests: scan(batches, t.value, text_column), kinds).drop("n_words")
             frame = space.write(frame, f"slice-{k}")
     kinds = row_and(frame, f"n_words bigint, found {MATCH}, n_hit bigint, n_items bigint, items_sha256 string")
-    return frame.mapInArrow(lambda batches: digest(scan(batches, tests.value)), kinds)
+    return frame.mapInArrow(lambda batches: digest(scan(batches, tests.value, text_column)), kinds)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:

@@ -16,13 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from timelegs.llm.store import row_and, whole_row
+from timelegs.llm.store import row_and, row_and_text, text_of
 
 BINS = 1 << 15
 PARTS = 16
 ORDERS = (1, 2, 3)
 MAX_LANGUAGES = 256
-CHARS = 1 << 20
+CHARS = 1 << 18
 UNDETERMINED = "und"
 
 
@@ -137,7 +137,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", keep: list
         m = shared.value
         for batch in batches:
             pred, best = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
-            for first, rows, codes, begins in text_groups(batch.column("text")) if m.languages else ():
+            for first, rows, codes, begins in text_groups(text_of(batch, text_column)) if m.languages else ():
                 places, bins = features(codes)
                 owner = np.searchsorted(begins, places, side="right") - 1
                 total = np.tile(m.log_prior, (rows, 1))
@@ -151,5 +151,5 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", keep: list
                 [batch.column("row"), pa.array(pred, pa.string()), pa.array(best, pa.float64())], ["row", "lang_pred", "score"]
             )
 
-    rows = docs.select(whole_row(docs, keep), docs[f"`{text_column}`"].cast("string").alias("text"))
+    rows = docs.select(*row_and_text(docs, text_column, keep))
     return rows.mapInArrow(score, row_and(rows, "lang_pred string, score double"))

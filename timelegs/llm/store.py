@@ -67,6 +67,19 @@ def whole_row(df: DataFrame, keep: list[str] | None = None) -> Column:
     return F.struct(*(df[f"`{c}`"] for c in (df.columns if keep is None else keep))).alias("row")
 
 
+def row_and_text(df: DataFrame, text_column: str, keep: list[str] | None = None) -> list[Column]:
+    """``whole_row`` and the text; the text comes once, within the row if that has it."""
+    row = whole_row(df, keep)
+    if text_column in (df.columns if keep is None else keep):
+        return [row]
+    return [row, df[f"`{text_column}`"].cast("string").alias("text")]
+
+
+def text_of(batch, text_column: str):
+    """The text of an Arrow batch made from ``row_and_text``."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("row").field(text_column)
+
+
 def row_and(df: DataFrame, more: str) -> StructType:
     """The schema of the column ``row`` of a frame, followed by further columns in DDL."""
     return StructType(df.select("row").schema.fields + StructType.fromDDL(more).fields)

@@ -24,14 +24,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timelegs.llm.store import row_and, whole_row
+from timelegs.llm.store import row_and, row_and_text, text_of
 from timelegs.llm.textkeys import U64, mix, running, utf8, window
 
 # Every residue modulo 13 is a difference of two of these.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 GRAM = 16
 PIECE = 1 << 21
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 3 << 20
 SPREAD = 3.3  # text bytes in buckets for each byte of input, about
 
 SEGMENTS = "bucket int, texts binary, lengths binary, occurrences binary, doc_id array<bigint>, sig array<bigint>"
@@ -112,7 +112,7 @@ def spread(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iter
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             raw = data.tobytes()
-            squeeze = zstandard.ZstdCompressor(level=1)
+            squeeze = zstandard.ZstdCompressor(level=3)
             out = {k: [] for k in ("bucket", "texts", "lengths", "occurrences", "doc_id", "sig")}
             rows = np.array([k for k, _, _ in group])
             offset = np.array([o for _, o, _ in group])
@@ -284,16 +284,15 @@ def remove_repeats(
     if length < 2 * GRAM + PERIOD:
         raise ValueError(f"length must be at least {2 * GRAM + PERIOD}")
     text = docs[f"`{text_column}`"].cast("string")
-    docs = docs.select(
-        whole_row(docs, keep), docs[f"`{id_column}`"].cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("sig")
-    )
-    starts = repeated_stretches(docs.select("doc_id", "text", "sig"), length)
+    key = [docs[f"`{id_column}`"].cast("bigint").alias("doc_id"), F.xxhash64(text).alias("sig")]
+    starts = repeated_stretches(docs.select(*key, text.alias("text")), length)
+    docs = docs.select(*row_and_text(docs, text_column, keep), *key)
     starts = starts.select(F.col("doc_id").alias("id"), F.col("sig").alias("s"), "starts")
 
     def cut(batches):
         for batch in batches:
             size, kept, texts, spans = [], [], [], []
-            for text, found in zip(batch.column("text"), batch.column("starts"), strict=True):
+            for text, found in zip(text_of(batch, text_column), batch.column("starts"), strict=True):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 rest, runs = cut_spans(raw, found.as_py(), length) if found.is_valid else (raw, [])
                 size.append(len(raw))
@@ -308,4 +307,4 @@ def remove_repeats(
 
     joined = docs.join(starts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("sig") == F.col("s")), "left")
     kinds = row_and(docs, "n_bytes bigint, kept binary, kept_text string, spans array<struct<begin:bigint,upto:bigint>>")
-    return joined.select("row", "text", "starts").mapInArrow(cut, kinds)
+    return joined.drop("doc_id", "sig", "id", "s").mapInArrow(cut, kinds)
