@@ -113,6 +113,7 @@ def shared_sets(docs: DataFrame, space: Workspace, width: int, percent: int) ->
     )
     out = space.write(out, "sets")
     space.drop("blocks")
+    space.drop("classes")
     return out
 
 
@@ -261,6 +262,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_sig = space.write(named.join(least, "component").select("sig", "component_id"), "components")
+    for name in ("matrix", "columns", "leader_links", "labels", "tile_links", "all_labels", "rows"):
+        space.drop(name)  # the result reads the sets and their components
     return every.join(by_sig, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
