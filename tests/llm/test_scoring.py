@@ -272,3 +272,23 @@ def test_snapshots_collapse(spark, here):
     assert got[6]["chat"] == "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nother<|im_end|>\n"
     assert got[2]["n_turns"] == 4 and got[7]["chat"] == "<|im_start|>unknown\n<|im_end|>\n"
     assert chat_snapshots.format_chats(df.filter("false")).collect() == []
+
+
+def test_outside_words_teach_their_context(spark, here):
+    """Words beyond the vocabulary follow each other in a fixed order, which only their bins can learn."""
+    rng = np.random.default_rng(9)
+    docs = []
+    for k in range(600):
+        at = int(rng.integers(64))
+        docs.append((k, " ".join(f"w{(at + j) % 64}" for j in range(40))))
+    out = lbl_model.score_corpus(spark.createDataFrame(docs, "doc_id bigint, text string"), trains, vocabulary=2)
+    held = out.filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > 0.95 * held[1]
+
+
+def test_a_round_takes_every_counted_pair():
+    rng = np.random.default_rng(4)
+    counts = np.append(rng.integers(1, 3000, 500), np.ones(500, np.int64))
+    chunks = list(lbl_model.occurrences(np.arange(1000), counts, rng, 100, chunk=50_000))
+    assert len(chunks) > 10 and max(map(len, chunks)) < 52_000
+    assert np.bincount(np.concatenate(chunks), minlength=1000).tolist() == counts.tolist()

@@ -22,7 +22,7 @@ from timelegs.llm.textkeys import U64
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 SCHEMA = "block bigint, doc_id array<bigint>, sizes array<int>, body binary"
-TOTALS = "block bigint, bucket int, body binary, present bigint, mass bigint, largest array<struct<key:bigint,total:bigint>>"
+TOTALS = "block bigint, bucket int, body binary, present bigint, mass bigint, largest array<struct<key:bigint,total:bigint>>, binned array<struct<bin:int,mass:bigint,types:bigint>>"
 SHIFT = 24  # a block has less documents than 2**SHIFT, since each takes a byte at least
 
 
@@ -95,6 +95,7 @@ def key_totals(
     buckets: int,
     weight: str = "u1",
     top: int = 0,
+    bits: int = 0,
 ) -> DataFrame:
     """For each block, what ``answer`` makes of the totals of its keys over all blocks.
 
@@ -102,8 +103,8 @@ def key_totals(
     of ``weight``). A key goes out once per block, however often it occurs, so no key's share of
     the rows matters. ``answer`` maps totals to an array of bytes; ``read_answers`` puts the
     answers in the order of the block's keys. Returned: block, bucket, body, and on one row of
-    each bucket the number of its keys with a total above zero, the sum of all its totals and its
-    ``top`` keys of largest total.
+    each bucket the number of its keys with a total above zero, the sum of all its totals, its
+    ``top`` keys of largest total and, if ``bits`` are given, sum and number by the keys' first bits.
     """
     edges = np.array([-(-(j << 64) // buckets) for j in range(1, buckets)], U64)
 
@@ -141,6 +142,12 @@ def key_totals(
         names = keys[new]
         best = np.lexsort((names, -sums))[:top]
         largest = [[{"key": int(k), "total": int(n)} for k, n in zip(names[best].view(np.int64), sums[best], strict=True)]] + [[]] * (len(parts) - 1)
+        bins = [[]] * len(parts)
+        if bits and len(names):
+            which = (names >> U64(64 - bits)).astype(np.int64)
+            at = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+            heaps = zip(which[at].tolist(), np.add.reduceat(sums, at).tolist(), np.add.reduceat((sums > 0).astype(np.int64), at).tolist(), strict=True)
+            bins[0] = [{"bin": k, "mass": n, "types": v} for k, n, v in heaps if v]
         return pa.table(
             {
                 "block": table.column("block"),
@@ -149,6 +156,7 @@ def key_totals(
                 "present": present,
                 "mass": mass,
                 "largest": pa.array(largest, pa.list_(pa.struct([("key", pa.int64()), ("total", pa.int64())]))),
+                "binned": pa.array(bins, pa.list_(pa.struct([("bin", pa.int32()), ("mass", pa.int64()), ("types", pa.int64())]))),
             }
         )
 
