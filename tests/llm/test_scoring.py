@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,3 +293,11 @@ def test_a_round_takes_every_counted_pair():
     chunks = list(lbl_model.occurrences(np.arange(1000), counts, rng, 100, chunk=50_000))
     assert len(chunks) > 10 and max(map(len, chunks)) < 52_000
     assert np.bincount(np.concatenate(chunks), minlength=1000).tolist() == counts.tolist()
+
+
+def test_insults_of_other_forms_and_languages_are_voted_bad():
+    texts = ["They met some idiots there.", "Such losers came.", "Quel crétin, vraiment.", "Ein Dummkopf ist er.", "We hate you and all of it.", "You 1d10t went home.", "A quiet day at the lake."]
+    g = next(weak_quality.groups(pa.array(texts)))
+    votes = np.array([g.votes[name] for name in weak_quality.TOXICITY])
+    assert (votes == 0).any(axis=0).tolist() == [True] * 6 + [False]
+    assert not (votes[:, :6] == 1).all(axis=0).any()

@@ -6,7 +6,9 @@ estimates each labeller's accuracies and each pattern's probability of being goo
 probabilities are the labels from which a logistic scorer over hashed words is learned, by tasks
 on their parts of a bounded sample, averaged. The scorer then rates every text.
 
-The same is done a second time for insults, with labellers that look for them.
+The same is done a second time for insults, with labellers that look for different evidence: stems
+of insults in six languages, ill will near an address, shouting near an address, disguised
+spellings, and the share of such words.
 """
 
 from __future__ import annotations
@@ -20,10 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timelegs.llm.textkeys import SPACES, U64, utf8, words
-
-# Words that insult.
-INSULTS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
+from timelegs.llm.textkeys import SPACES, U64, byte_values, running, utf8, window, words
+
+# Fixed values, written down from general knowledge and not counted in any table: stems of words that
+# insult in English, French, German, Spanish, Italian and Portuguese, and words of ill will.
+INSULTS = """
+    arschloch asshole babaca bastard bitch blockhead blödmann bonehead clown coglion connard coward cretin crétin abruti
+    dickhead dimwit disgusting douchebag dumbass dummkopf escoria estúpid filthy fool garbage gilipollas halfwit idiot
+    imbecil imbécil jackass loser lowlife lunatic miserabl moron nitwit numbskull otári palhaç pathetic payaso retarded salaud
+    schwachkopf scum stronz stupid trash trottel useless vermin vollidiot worthless abschaum minable asqueros schifos
+""".split()
+ENDING = 4  # bytes that may follow a stem
+NEGATIVE = "hate ugly dumb shut liar shame sick die awful terrible horrible lazy kill rotten nobody nothing déteste hasse odio odeio odi".split()
+ADDRESS = "you your youre yours yourself ur tu toi vous ton dich dir dein deine usted tú ti você te".split()
+DISGUISE = bytes.maketrans(b"013457@$!", b"oieastasi")
+NEAR = 4  # words between an address and what is said of it
 SYMBOLS = b"#*$%&|<>{}\\^~"
 BINS = 1 << 16
 SAMPLE = 40_000  # documents that the scorer learns from, at most about so many
@@ -34,7 +47,7 @@ RATE = 0.05
 DECAY = 0.01
 GROUP_BYTES = 2 << 20
 QUALITY = ("plain", "symbols", "marked_words", "capitals", "capital_words", "lines", "word_size", "marks")
-TOXICITY = ("insult", "insults", "insult_share")
+TOXICITY = ("insult", "address", "shouting", "disguise", "insult_share")
 KINDS = {"quality": QUALITY, "toxicity": TOXICITY}
 
 
@@ -49,10 +62,42 @@ class Group:
     votes: dict[str, np.ndarray]
 
 
-@lru_cache(maxsize=1)
-def insult_hashes() -> np.ndarray:
-    data = np.frombuffer(" ".join(INSULTS).encode(), np.uint8)
-    return np.sort(words(data, bytes(b for b in range(128) if not chr(b).isalpha()), lower=True)[2])
+LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())  # all but letters
+
+
+@lru_cache(maxsize=4)
+def known_hashes(names: tuple[str, ...]) -> np.ndarray:
+    data = np.frombuffer(" ".join(names).encode(), np.uint8)
+    return np.sort(words(data, LETTERS, lower=True)[2])
+
+
+def _among(hashes: np.ndarray, names: list[str]) -> np.ndarray:
+    known = known_hashes(tuple(names))
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+
+def insulting(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each word is one of the stems, with an ending of a few bytes or none."""
+    sums = running(byte_values(LETTERS, True)[0][data])
+    hit = np.zeros(len(starts), bool)
+    stems: dict[int, list[str]] = {}
+    for stem in INSULTS:
+        stems.setdefault(len(stem.encode()), []).append(stem)
+    for size, names in stems.items():
+        some = np.flatnonzero((ends - starts >= size) & (ends - starts <= size + ENDING))
+        hit[some] |= _among(window(sums, starts[some], starts[some] + size) ^ U64(size), names)
+    return hit
+
+
+def _near(what: np.ndarray, address: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which of the words ``what`` have an address among the ``NEAR`` words of their text on either side."""
+    at = np.flatnonzero(what)
+    upto = np.append(0, np.cumsum(address))
+    low = np.maximum(at - NEAR, np.searchsorted(owner, owner[at], side="left"))
+    high = np.minimum(at + NEAR + 1, np.searchsorted(owner, owner[at], side="right"))
+    out = np.zeros(len(what), bool)
+    out[at] = upto[high] > upto[low]
+    return out
 
 
 def _vote(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
@@ -101,10 +146,30 @@ def _group(data: np.ndarray, offsets: np.ndarray, first: int) -> Group:
     stops = count(b".") / some
     marks = count(b"!?") / some
     size = chars / some
-    letters_at, _, bare = words(laid, bytes(b for b in range(128) if not chr(b).isalpha()), lower=True)
-    known = insult_hashes()
-    hit = known[np.minimum(np.searchsorted(known, bare), len(known) - 1)] == bare
-    insults = np.bincount(np.searchsorted(begins, letters_at, side="right") - 1, hit, minlength=rows)
+    letters_at, letters_end, bare = words(laid, LETTERS, lower=True)
+    bare_owner = np.searchsorted(begins, letters_at, side="right") - 1
+
+    def texts(which: np.ndarray, of: np.ndarray) -> np.ndarray:
+        return np.bincount(of[which], minlength=rows)
+
+    hit = insulting(laid, letters_at, letters_end)
+    address = _among(bare, ADDRESS)
+    insults = texts(hit, bare_owner)
+    ill = texts(_near(hit | _among(bare, NEGATIVE), address, bare_owner), bare_owner)
+    # Words of capitals alone, and doubled marks after a word.
+    large = np.concatenate(([0], np.cumsum((laid >= 65) & (laid <= 90))))
+    shouts = (letters_end - letters_at > 3) & (large[letters_end] - large[letters_at] == letters_end - letters_at)
+    after, then = (laid[np.minimum(letters_end + k, len(laid) - 1)] for k in (0, 1))
+    shouts |= (after == 0x21) & (then == 0x21)
+    loud = texts(_near(shouts, address, bare_owner), bare_owner)
+    # Insults that show only when digits and signs are read as the letters they look like.
+    shown = np.frombuffer(laid.tobytes().translate(DISGUISE), np.uint8)
+    shown_at, shown_end, _ = words(shown, LETTERS, lower=True)
+    seen = insulting(shown, shown_at, shown_end)
+    plain = np.append(0, np.cumsum(np.bincount(letters_at[hit], minlength=len(laid) + 1)))
+    seen &= plain[shown_end] == plain[shown_at]
+    hidden = texts(seen, np.searchsorted(begins, shown_at, side="right") - 1)
+    said = insults + hidden
     nothing, never = n == 0, np.zeros(rows, bool)
     table = np.zeros(256, np.int64)
     table[list(SYMBOLS)] = 1
@@ -119,12 +184,13 @@ def _group(data: np.ndarray, offsets: np.ndarray, first: int) -> Group:
         "lines": _vote(never, repeats > 0.3),
         "word_size": _vote(never, size > 20),
         "marks": _vote(marks == 0, marks > 0.2),
-        "insult": _vote(insults == 0, insults > 0),
-        "insults": _vote(insults == 0, insults > 1),
-        "insult_share": _vote(insults / some < 0.0005, insults / some > 0.01),
+        "insult": _vote((said == 0) & (ill == 0), insults > 0),
+        "address": _vote((ill == 0) & (hidden == 0) & (insults == 0), ill > 0),
+        "shouting": _vote(never, loud > 0),
+        "disguise": _vote(never, hidden > 0),
+        "insult_share": _vote((said + ill) / some < 0.0005, said / some > 0.01),
     }
     # Hashed words, letters apart from their case and marks; length and marks have bins of their own.
-    bare_owner = np.searchsorted(begins, letters_at, side="right") - 1
     shape = np.arange(rows)
     signs = [np.digitize(x, [0.002, 0.01, 0.05, 0.2, 0.5]) for x in (symbols, capitals, stops, marks, repeats)] + [np.digitize(n, [5, 15, 40, 100, 1000])]
     extra = [BINS - 64 + 8 * j + s for j, s in enumerate(signs)]
