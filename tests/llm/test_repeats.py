@@ -155,3 +155,12 @@ def test_rows_survive_in_full(odd):
     out = suffix_dedup.remove_repeats(odd).select("row.*")
     assert out.columns == odd.columns
     assert out.select(F.sum(F.length("text"))).first() == odd.select(F.sum(F.length("text"))).first()
+
+
+def test_items_without_a_name_are_tested(spark, here):
+    docs = spark.createDataFrame([(1, "here is a secret line of text"), (2, "nothing of it")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, "secret line"), (3, "other words")], "item_id bigint, text string")
+    for size in (8 << 20, 60):
+        got = decontaminate.find_matches(docs, items, slice_bytes=size).select("row.doc_id", "n_hit", "n_items").collect()
+        assert sorted(tuple(r) for r in got) == [(1, 2, 0), (2, 0, 0)]
+    assert [r["doc_id"] for r in decontaminate.remove_contaminated(docs, items).collect()] == [2]

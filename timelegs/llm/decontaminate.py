@@ -32,7 +32,7 @@ MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int3
 class Tests:
     """The words of a slice of the benchmark, and its windows as suffixes of bounded length."""
 
-    item_id: list[str]
+    item_id: list[str | None]
     hashes: np.ndarray
     last: np.ndarray  # for each word, the end of its item
     start: np.ndarray  # the windows' first words
@@ -61,7 +61,7 @@ def prepare(rows: list, window: int = WINDOW) -> Tests:
     gate = np.zeros(1 << 20, bool)
     gate[(leads >> U64(44)).astype(np.int64)] = True
     last = np.repeat(cuts[1:], np.diff(cuts))
-    return Tests([str(r[0]) for r in rows], hashes, last, begin, size, item, lead, leads, gate)
+    return Tests([None if r[0] is None else str(r[0]) for r in rows], hashes, last, begin, size, item, lead, leads, gate)
 
 
 def suffix_rows(hashes: np.ndarray, at: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
@@ -159,7 +159,7 @@ def summarise(found: list[dict]) -> tuple[int, int, str]:
     for begin, end in sorted((m["doc_word"], m["doc_word"] + m["n_words"]) for m in found):
         n_hit += max(0, end - max(begin, upto))
         upto = max(upto, end)
-    items = sorted({m["item_id"] for m in found})
+    items = sorted({m["item_id"] for m in found} - {None})
     return n_hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
@@ -182,18 +182,18 @@ def find_matches(
     Words are runs of digits, letters and characters beyond ASCII, lower-cased A-Z. A match is at
     least ten words of an item of ``benchmark`` (item_id, text), or all words of a shorter item.
     ``n_hit`` counts the document's words in matches. Null and empty texts have no words, an empty
-    benchmark no matches; items with equal texts are all named, items without item_id are not
-    tested, repeated rows are treated alike. Words are compared by 64-bit hashes. A benchmark
+    benchmark no matches; items with equal texts are all named, items without item_id count
+    in ``n_hit`` and are not among the items named, repeated rows are treated alike. Words are compared by 64-bit hashes. A benchmark
     beyond ``slice_bytes`` takes several passes, with a table written after each.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).filter("item_id IS NOT NULL")
+    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).distinct()
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     slices = int(total / slice_bytes) + 1
     space = Workspace(spark, "decontaminate")
     frame = docs.select(*row_and_text(docs, text_column, keep), F.lit(None).cast(MATCH).alias("found"))
     for k in range(slices):
-        mine = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k).orderBy("item_id").collect()
+        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).orderBy("item_id", "text").collect()
         tests = spark.sparkContext.broadcast(prepare(mine))
         if k < slices - 1:
             kinds = StructType([*frame.schema.fields, StructField("n_words", LongType())])
