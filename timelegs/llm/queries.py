@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timelegs.llm import anchor_dedup, chat_snapshots, curriculum, decontaminate, jaccard_join, language_id, lbl_model, risk_rules, suffix_dedup, weak_quality
+from timelegs.llm import anchor_dedup, chat_snapshots, curriculum, decontaminate, hard_negatives, jaccard_join, language_id, lbl_model, risk_rules, suffix_dedup, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,12 @@ ORACLES["op2_chat_snapshots"] = chat_snapshots.FORMAT_SQL
 def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return weak_quality.classify(docs, weak_quality.train(docs))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label_column=label)
+
+
+ORACLES["op11_hard_negatives"] = hard_negatives.MINE_SQL.format(embeddings="embeddings")
