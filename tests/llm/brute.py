@@ -89,3 +89,57 @@ def benchmark_hits(docs, items, width=10):
                     found |= names
         out.append((d, len(w), sum(mark), len(found), sha(",".join(sorted(found)).encode())))
     return out
+
+
+def hard_negatives(rows, positives=5, negatives=10, every=100):
+    """``rows`` are (id, label, vector of floats); rows that take no part are to be left out before."""
+    import math
+
+    def clip(x):
+        return max(-(2**63) + 1, min(2**63 - 1, x))
+
+    whole = [(i, label, [math.floor(256 * x) for x in v]) for i, label, v in rows]
+    out = []
+    for k, (a, label, v) in enumerate(whole):
+        if a % every:
+            continue
+        scored = sorted((-clip(sum(x * y for x, y in zip(v, w, strict=False))), i, other) for n, (i, other, w) in enumerate(whole) if n != k)
+        for p, i, _ in [x for x in scored if x[2] == label][:positives]:
+            fits = [(n, j) for n, j, other in scored if other != label and 30 * -p <= 100 * -n <= 90 * -p][:negatives]
+            out += [(a, i, rank, j, -p, -n) for rank, (n, j) in enumerate(fits, 1)]
+    return out
+
+
+def alignment(docs, a_encode, a_bytes, b_encode, b_bytes):
+    """Per document the counts and the text of its groups, by sets of ends."""
+    read = []
+    for d, t in docs:
+        a, b = (a_encode(" " + t), b_encode(t)) if t else ([], [])
+        whole = (" " + t).encode() if t else b""
+        if b"".join(map(a_bytes, a)) != whole or b"".join(map(b_bytes, b)) != whole:
+            a, b = [], []
+        ends = []
+        for ids, of in ((a, a_bytes), (b, b_bytes)):
+            at, places = 0, {}
+            for i in ids:
+                at += len(of(i))
+                places[at] = i
+            ends.append(places)
+        read.append((d, a, b, *ends))
+    links = [[(x[e], y[e]) for e in sorted(x.keys() & y.keys())] for *_, x, y in read]
+    counts = Counter(p for found in links for p in found)
+    highest = defaultdict(int)
+    for (_, b), n in counts.items():
+        highest[b] = max(highest[b], n)
+    out = []
+    for (d, a, b, x, y), found in zip(read, links, strict=True):
+        groups, sides = [], ([], [])
+        for e in sorted(x.keys() | y.keys()):
+            for s, side in zip((x, y), sides, strict=True):
+                side += [str(s[e])] if e in s else []
+            if e in x and e in y:
+                groups.append("|".join(",".join(side) for side in sides))
+                sides = ([], [])
+        best = sum(counts[p] == highest[p[1]] for p in found)
+        out.append((d, len(a), len(b), len(groups), len(found), best, sum(counts[p] for p in found), ";".join(groups)))
+    return out

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timelegs.llm import anchor_dedup, chat_snapshots, curriculum, decontaminate, hard_negatives, jaccard_join, language_id, lbl_model, risk_rules, suffix_dedup, weak_quality
+from timelegs.llm import anchor_dedup, chat_snapshots, curriculum, decontaminate, differencing, hard_negatives, jaccard_join, language_id, lbl_model, merge_path, risk_rules, suffix_dedup, weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +20,7 @@ def query(fn):
     return fn
 
 
+TOKENIZERS = "/opt/tokenizers"  # public vocabulary files, on every machine
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -114,3 +115,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_hard_negatives"] = hard_negatives.MINE_SQL.format(embeddings="embeddings")
+
+
+@query
+def op12_merge_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [f"{TOKENIZERS}/{name}" for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    return merge_path.align(table(spark, sf_dir, "documents"), *files, of_groups=digest).withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op13_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = differencing.divide(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    law = [F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")]
+    return found.select("row.doc_id", "size", "text_crc32", "shard", "slot", *law)
