@@ -4,7 +4,7 @@ import pytest
 
 from timelegs.operators import shredding, stops
 from timelegs.plans import batch
-from timelegs.sources import journeys_xml
+from timelegs.sources import journeys_xml, xml_elements
 
 NS = 'xmlns="http://www.transxchange.org.uk/"'
 
@@ -186,3 +186,77 @@ def test_documents_are_counted_and_required(spark, folder, tmp_path):
     journeys_xml.require_documents(spark, folder)
     with pytest.raises(FileNotFoundError, match="no XML documents"):
         journeys_xml.require_documents(spark, str(tmp_path))
+
+
+NESTED = (
+    "<VehicleJourney><Times><DepartureTime>no child</DepartureTime></Times><VehicleJourneyCode>\n V9 </VehicleJourneyCode>"
+    '<VehicleJourneyTimingLink id="1"><JourneyPatternTimingLinkRef>N1</JourneyPatternTimingLinkRef><RunTime>PT1M</RunTime></VehicleJourneyTimingLink>'
+    '<Wrap><Deep><VehicleJourneyTimingLink id="2"><In><RunTime>PT9M</RunTime></In><JourneyPatternTimingLinkRef>N1</JourneyPatternTimingLinkRef>'
+    "</VehicleJourneyTimingLink></Deep></Wrap></VehicleJourney>"
+)
+STOPS = (
+    "<AnnotatedStopPointRef><R><StopPointRef>R1</StopPointRef></R><D><E><CommonName>deep</CommonName></E></D><CommonName>later</CommonName></AnnotatedStopPointRef>"
+    "<StopPoint><Place><LocalityName>LN</LocalityName></Place><NptgLocalityRef>NR</NptgLocalityRef><X><Y><AtcoCode>S1</AtcoCode></Y></X>"
+    "<Descriptor><More><CommonName> deep name </CommonName></More></Descriptor><P><Q><Latitude>51</Latitude><Longitude>-0.5</Longitude></Q></P>"
+    "<StopPoint><AtcoCode>S2</AtcoCode><Latitude>1</Latitude></StopPoint></StopPoint>"
+)
+
+
+@pytest.fixture(scope="module")
+def nested(tmp_path_factory):
+    base = tmp_path_factory.mktemp("nested")
+    (base / "a+b c.xml").write_text(document(link("N1", "F", "T"), NESTED, STOPS))
+    latin = document(STOPS.replace("R1", "Ré")).replace("UTF-8", "ISO-8859-1")
+    (base / "cut.xml").write_bytes(latin.encode("latin-1")[:-10])
+    (base / "none.xml").write_text(" ")
+    return str(base)
+
+
+def test_one_pass_finds_every_depth_in_document_order(spark, nested, tmp_path):
+    out = batch.Layout(str(tmp_path))
+    elements = batch.parse(spark, nested, out)
+    raw = batch.extract(spark, elements, out).orderBy("vehicle_timing_link_id").collect()
+    assert [(r["source_file"], r["vehicle_journey_code"], r["departure_time"], r["vehicle_timing_link_id"], r["runtime_iso"], r["to_stop_ref"]) for r in raw] == [
+        ("a+b c.xml", "V9", None, "1", "PT1M", "T"),
+        ("a+b c.xml", "V9", None, "2", None, "T"),
+    ]
+    found = {r["stop_ref"]: r for r in batch.extract_stop_catalogue(spark, elements, out).collect()}
+    assert set(found) == {"R1", "Ré", "S1", "S2"}  # stops before the break are kept
+    assert (found["R1"]["common_name"], found["R1"]["has_coordinates"]) == ("deep", "0")
+    s1 = found["S1"]
+    assert (s1["common_name"], s1["locality_name"], s1["latitude"], s1["longitude"], s1["source_file"]) == ("deep name", "LN", "51.0", "-0.5", "a+b c.xml")
+    assert (found["S2"]["latitude"], found["S2"]["has_coordinates"]) == ("1.0", "0")
+
+    def metrics(name):
+        return {r[0]: r[1] for r in spark.read.option("header", True).csv(out.at(f"reports/{name}")).collect()}
+
+    extraction = metrics("extraction_summary")
+    assert (extraction["xml_files_found"], extraction["unreadable_xml_files"]) == ("3", "2")
+    assert (extraction["rows_extracted"], extraction["invalid_runtimes"], extraction["missing_timing_link_matches"]) == ("2", "1", "0")
+    assert metrics("stop_catalogue_summary")["total_stop_elements_read"] == "6"
+    assert metrics("vehicle_journey_profile")["vehicle_timing_links"] == "2"
+    assert metrics("pattern_link_profile")["total_links"] == "1"
+
+
+def test_one_pass_agrees_with_the_reader_of_single_elements(spark, folder):
+    elements = xml_elements.read_elements(spark, folder)
+    same = [
+        (shredding.journey_legs(elements), shredding.explode_journeys(read(spark, folder, "VehicleJourney"))),
+        (
+            shredding.link_lookup(shredding.pattern_links(elements)),
+            shredding.link_lookup(shredding.flatten_links(read(spark, folder, "JourneyPatternTimingLink"))),
+        ),
+    ]
+    for one, other in same:
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.select(*one.columns).collect()))
+    assert tuple(xml_elements.document_counters(elements).first()) == (4, 2)
+
+
+def test_descendants_and_children(spark):
+    fields = "array<struct<tag:string,depth:int,text:string>>"
+    rows = [("A", 2, "deep"), ("A", 1, None), ("A", 1, "later"), ("B", 1, "\t "), ("B", 3, "x ")]
+    df = spark.createDataFrame([(rows,), ([],)], f"f {fields}")
+    got = df.select(
+        xml_elements.child_text("f", "A"), xml_elements.descendant_text("f", "A"), xml_elements.descendant_text("f", "B"), xml_elements.first_text("f", ["B", "C"])
+    ).collect()
+    assert [tuple(r) for r in got] == [("", "deep", "", "x"), ("", "", "", "")]

@@ -48,7 +48,7 @@ def first_non_blank(*columns: Column | str, default: str | None = None) -> Colum
 
 
 def text_or_blank(c: Column | str) -> Column:
-    return F.coalesce(F.trim(col(c)), F.lit(""))
+    return F.coalesce(stripped(c), F.lit(""))
 
 
 def segment_key(from_ref: Column | str, to_ref: Column | str) -> Column:

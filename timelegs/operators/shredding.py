@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timelegs.functions import durations, geo, text
 from timelegs.operators.joins import hot_key_join
 from timelegs.operators.stops import keep_last
 from timelegs.schemas import RAW_SEGMENTS
+from timelegs.sources import xml_elements
 
 LINK_FIELDS = [
     "from_sequence",
@@ -113,16 +114,21 @@ def extract_segments(journeys: DataFrame, links: DataFrame) -> DataFrame:
     return to_raw_segments(join_links(explode_journeys(journeys), link_lookup(flatten_links(links))))
 
 
+def leg_counts() -> list[Column]:
+    """Aggregates over joined legs: rows, run-time classes, links without a match."""
+    kind, present = durations.runtime_class("runtime_iso"), F.col("has_link")
+    return [
+        F.count_if(present).alias("rows_extracted"),
+        F.count_if(present & (kind == "positive")).alias("positive_runtimes"),
+        F.count_if(present & (kind == "zero")).alias("zero_runtimes"),
+        F.count_if(present & kind.isin("missing", "invalid")).alias("invalid_runtimes"),
+        F.count_if(present & ~F.col("link_matched")).alias("missing_timing_link_matches"),
+    ]
+
+
 def extraction_counters(joined: DataFrame) -> DataFrame:
-    """One row over the joined legs: rows, run-time classes, links without a match."""
-    kind = durations.runtime_class("runtime_iso")
-    return joined.filter("has_link").agg(
-        F.count(F.lit(1)).alias("rows_extracted"),
-        F.count_if(kind == "positive").alias("positive_runtimes"),
-        F.count_if(kind == "zero").alias("zero_runtimes"),
-        F.count_if(kind.isin("missing", "invalid")).alias("invalid_runtimes"),
-        F.count_if(~F.col("link_matched")).alias("missing_timing_link_matches"),
-    )
+    """One row of ``leg_counts``."""
+    return joined.agg(*leg_counts())
 
 
 def _class_counts(run_time: str, present):
@@ -228,3 +234,85 @@ def first_text(document, tags: list[str]):
     return F.coalesce(text.stripped(F.xpath_string(text.col(document), F.lit(path))), F.lit(""))
 
 
+def journey_legs(elements: DataFrame) -> DataFrame:
+    """``explode_journeys`` of elements that were taken apart in one pass; links at any depth count."""
+    journeys = elements.filter((F.col("tag") == "VehicleJourney") & ~F.col("broken"))
+    own = {
+        "vehicle_journey_code": "VehicleJourneyCode",
+        "service_ref": "ServiceRef",
+        "line_ref": "LineRef",
+        "journey_pattern_ref": "JourneyPatternRef",
+        "departure_time": "DepartureTime",
+    }
+    legs = journeys.select(
+        "source_file",
+        *[xml_elements.child_text("fields", tag).alias(name) for name, tag in own.items()],
+        F.posexplode_outer("parts").alias("link_position", "_link"),
+    )
+    return legs.select(
+        "source_file",
+        *own,
+        "link_position",
+        F.col("_link").isNotNull().alias("has_link"),
+        F.coalesce(F.col("_link.attributes").getItem("id"), F.lit("")).alias("vehicle_timing_link_id"),
+        xml_elements.child_text("_link.fields", "JourneyPatternTimingLinkRef").alias(
+            "journey_pattern_timing_link_ref"
+        ),
+        xml_elements.child_text("_link.fields", "RunTime").alias("runtime_iso"),
+    )
+
+
+def pattern_links(elements: DataFrame) -> DataFrame:
+    """``flatten_links`` of elements that were taken apart in one pass."""
+    links = elements.filter((F.col("tag") == "JourneyPatternTimingLink") & ~F.col("broken"))
+
+    def end(side: str, prefix: str):
+        found = xml_elements.part(side)
+        sequence = F.coalesce(found.getField("attributes").getItem("SequenceNumber"), F.lit(""))
+        tags = {"stop_ref": "StopPointRef", "timing_status": "TimingStatus", "activity": "Activity"}
+        inner = found.getField("fields")
+        return [
+            sequence.alias(f"{prefix}_sequence"),
+            *[xml_elements.descendant_text(inner, tag).alias(f"{prefix}_{c}") for c, tag in tags.items()],
+        ]
+
+    return links.select(
+        "source_file",
+        F.coalesce(F.col("attributes").getItem("id"), F.lit("")).alias("link_ref"),
+        F.struct("path", F.col("place").alias("row")).alias("position"),
+        *end("From", "from"),
+        *end("To", "to"),
+        xml_elements.child_text("fields", "RouteLinkRef").alias("route_link_ref"),
+        xml_elements.child_text("fields", "RunTime").alias("link_run_time"),
+    )
+
+
+def stop_records(elements: DataFrame) -> DataFrame:
+    """Catalogue records of all stops, also of those before the break of a broken document.
+
+    Each value is the first one in document order, at any depth.
+    """
+    local = F.col("tag") == "StopPoint"
+    found = elements.filter(F.col("tag").isin("StopPoint", "AnnotatedStopPointRef"))
+    # The names under which a stop's values stand.
+    localities = ["LocalityName", "LocalityQualifier", "NptgLocalityRef"]
+
+    def coordinate(tag: str, limit: float):
+        given = F.when(local, xml_elements.first_text("fields", [tag]))
+        return geo.valid_coordinate(given, limit)
+
+    latitude, longitude = coordinate("Latitude", geo.LATITUDE_LIMIT), coordinate("Longitude", geo.LONGITUDE_LIMIT)
+    ref = F.when(local, xml_elements.first_text("fields", ["AtcoCode", "StopPointRef"])).otherwise(
+        xml_elements.first_text("fields", ["StopPointRef"])
+    )
+    return found.select(
+        ref.alias("stop_ref"),
+        xml_elements.first_text("fields", ["CommonName"]).alias("common_name"),
+        xml_elements.first_text("fields", localities).alias("locality_name"),
+        F.coalesce(latitude.cast("string"), F.lit("")).alias("latitude"),
+        F.coalesce(longitude.cast("string"), F.lit("")).alias("longitude"),
+        F.coalesce(geo.has_both(latitude, longitude).cast("string"), F.lit("0")).alias("has_coordinates"),
+        F.when(local, "local_definition").otherwise("annotated_reference").alias("source_type"),
+        "source_file",
+        F.struct("path", F.col("place").alias("row")).alias("position"),
+    )

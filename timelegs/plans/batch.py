@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from timelegs.operators import (
     analytics,
@@ -22,7 +22,7 @@ from timelegs.operators import (
 )
 from timelegs.operators.quality import key_exists, require_constraints
 from timelegs.operators.records import beside
-from timelegs.sources import journeys_xml, sinks, tables
+from timelegs.sources import journeys_xml, sinks, tables, xml_elements
 from timelegs.sources.stage import remove_folder, replace_folder
 
 
@@ -36,43 +36,61 @@ class Layout:
         return f"{self.base.rstrip('/')}/{name}"
 
 
-def extract(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
-    """Documents to raw segments.
+def parse(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
+    """Documents to the elements that the stages ask for, by one pass over each document.
 
-    Parsing is the costly part, so the parsed legs and links are written first; the join
-    then reads them as often as it needs.
+    The table is laid out by element, so a stage reads no other elements than its own.
     """
     journeys_xml.require_documents(spark, xml_path)
-    bad = journeys_xml.unreadable_files(spark, xml_path).persist()
-    try:
-        journeys = journeys_xml.read_documents(spark, xml_path, "VehicleJourney", bad)
-        links = journeys_xml.read_documents(spark, xml_path, "JourneyPatternTimingLink", bad)
-        sinks.write_parquet(shredding.explode_journeys(journeys), out.at("parsed_legs"))
-        sinks.write_parquet(shredding.flatten_links(links), out.at("parsed_links"))
-    finally:
-        bad.unpersist()
-    lookup = shredding.link_lookup(spark.read.parquet(out.at("parsed_links")))
-    joined = shredding.join_links(spark.read.parquet(out.at("parsed_legs")), lookup)
-    sinks.write_parquet(shredding.to_raw_segments(joined), out.at("raw_segments"))
-    return tables.read_parquet(spark, out.at("raw_segments"))
+    elements = xml_elements.read_elements(spark, xml_path)
+    sinks.write_parquet(elements, out.at("elements"), partition_by=["tag"])
+    return tables.read_parquet(spark, out.at("elements"))
 
 
-def extract_stop_catalogue(spark: SparkSession, xml_path: str, out: Layout) -> DataFrame:
-    """Documents to one record per stop. Ties go to the earlier file, and within a file to
-    the referenced stop before the locally defined one."""
-    journeys_xml.require_documents(spark, xml_path)
-    annotated = shredding.annotated_stop_records(
-        journeys_xml.read_partial_documents(spark, xml_path, "AnnotatedStopPointRef")
-    )
-    local = shredding.local_stop_records(
-        journeys_xml.read_partial_documents(spark, xml_path, "StopPoint")
-    )
-    records = stops.combine_stop_records(annotated, local)
-    catalogue = stops.best_stop_records(
-        records, ["position.path", "source_type", "position.row"]
-    )
+def _parsed(spark: SparkSession, source: str | DataFrame, out: Layout) -> DataFrame:
+    return parse(spark, source, out) if isinstance(source, str) else source
+
+
+def extract(spark: SparkSession, source: str | DataFrame, out: Layout) -> DataFrame:
+    """Documents to raw segments. ``source`` is their path, or what ``parse`` made of them.
+
+    The legs and links are written first; the join then reads them as often as it needs. The
+    counters of the extraction are observed on the write; they and the profiles of run times
+    are written as reports.
+    """
+    elements = _parsed(spark, source, out)
+    sinks.write_parquet(shredding.journey_legs(elements), out.at("parsed_legs"), allow_empty=True)
+    sinks.write_parquet(shredding.pattern_links(elements), out.at("parsed_links"), allow_empty=True)
+    legs = spark.read.parquet(out.at("parsed_legs"))
+    links = spark.read.parquet(out.at("parsed_links"))
+    joined = shredding.join_links(legs, shredding.link_lookup(links))
+    observed = Observation()
+    counted = joined.observe(observed, *shredding.leg_counts())
+    sinks.write_parquet(shredding.to_raw_segments(counted), out.at("raw_segments"))
+    raw = tables.read_parquet(spark, out.at("raw_segments"))
+    documents = xml_elements.document_counters(elements)
+    reports = {
+        "extraction_summary": beside(documents, spark.createDataFrame([Row(**observed.get)])),
+        "pattern_link_profile": shredding.link_runtime_profile(links),
+        "vehicle_journey_profile": shredding.journey_runtime_profile(legs),
+    }
+    for name, record in reports.items():
+        sinks.write_metrics(record, out.at(f"reports/{name}"))
+    sinks.write_csv(shredding.positive_runtime_examples(legs), out.at("reports/runtime_examples"))
+    return raw
+
+
+def extract_stop_catalogue(spark: SparkSession, source: str | DataFrame, out: Layout) -> DataFrame:
+    """Documents to one record per stop. Ties go to the earlier document, and within one to the
+    stop that stands first. ``source`` is their path, or what ``parse`` made of them."""
+    elements = _parsed(spark, source, out)
+    records = shredding.stop_records(elements)
+    catalogue = stops.best_stop_records(records, ["position.path", "position.row"])
     sinks.write_parquet(catalogue, out.at("stop_catalogue"))
-    return tables.read_parquet(spark, out.at("stop_catalogue"))
+    written = tables.read_parquet(spark, out.at("stop_catalogue"))
+    counters = beside(xml_elements.document_counters(elements), stops.catalogue_counters(records, written))
+    sinks.write_metrics(counters, out.at("reports/stop_catalogue_summary"))
+    return written
 
 
 def match_stops(spark: SparkSession, register_path: str, out: Layout) -> DataFrame:

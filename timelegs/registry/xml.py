@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from timelegs.operators import shredding
 from timelegs.registry.book import query
-from timelegs.sources import journeys_xml
+from timelegs.sources import journeys_xml, xml_elements
 from timelegs.sources.stage import new_folder
 
 
@@ -227,3 +227,88 @@ def extracted_segments(net):
 )
 def runtime_examples(net):
     return shredding.positive_runtime_examples(net.legs)
+
+
+@query(
+    "nested_journeys",
+    """
+    SELECT concat('d', l_orderkey % 500) AS source_file, concat('VJ', l_orderkey) AS vehicle_journey_code,
+           p_brand AS line_ref, concat('JP', l_suppkey) AS journey_pattern_ref, l_linenumber - 1 AS line,
+           concat('VL', l_linenumber, CASE s.n WHEN 0 THEN 'a' ELSE 'n' END) AS vehicle_timing_link_id,
+           s.n AS link_position, concat('JL', l_partkey) AS journey_pattern_timing_link_ref,
+           CASE s.n WHEN 0 THEN concat('PT', minutes, 'M') ELSE '' END AS runtime_iso
+    FROM lines, (VALUES (0), (1)) s(n)
+    WHERE l_orderkey % 500 % 9 <> 8
+    """,
+    ["lines"],
+)
+def nested_journeys(net):
+    """Links at two depths, out of documents of which some are broken."""
+    legs = shredding.journey_legs(xml_elements.elements_of(net.timetable_documents))
+    number = F.regexp_extract("vehicle_timing_link_id", r"VL(\d+)", 1).cast("bigint") - 1
+    return legs.select(
+        "source_file",
+        "vehicle_journey_code",
+        "line_ref",
+        "journey_pattern_ref",
+        number.alias("line"),
+        "vehicle_timing_link_id",
+        "link_position",
+        "journey_pattern_timing_link_ref",
+        "runtime_iso",
+    )
+
+
+@query(
+    "document_links",
+    """
+    SELECT concat('d', l_orderkey % 500) AS source_file, concat('JL', l_partkey) AS link_ref,
+           CAST(l_linenumber AS VARCHAR) AS from_sequence, concat('S', l_suppkey) AS from_stop_ref,
+           CASE WHEN l_linestatus = 'F' THEN 'PTP' ELSE '' END AS from_timing_status, '' AS from_activity,
+           CAST(l_linenumber + 1 AS VARCHAR) AS to_sequence, concat('T', to_key) AS to_stop_ref,
+           '' AS to_timing_status, 'setDown' AS to_activity, concat('RL', p_size) AS route_link_ref
+    FROM lines
+    WHERE l_orderkey % 500 % 9 <> 8
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey % 500, l_partkey
+                               ORDER BY l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) = 1
+    """,
+    ["lines"],
+)
+def document_links(net):
+    """All eleven fields of the last definition of each pattern link, parsed from documents."""
+    links = shredding.pattern_links(xml_elements.elements_of(net.timetable_documents))
+    return shredding.link_lookup(links)
+
+
+@query(
+    "document_counters",
+    """
+    SELECT count(DISTINCT l_orderkey % 500) AS xml_files_found,
+           count(DISTINCT l_orderkey % 500) FILTER (WHERE l_orderkey % 500 % 9 = 8) AS unreadable_xml_files
+    FROM lines
+    """,
+    ["lines"],
+)
+def document_counters(net):
+    return xml_elements.document_counters(xml_elements.elements_of(net.timetable_documents))
+
+
+@query(
+    "document_stops",
+    """
+    SELECT concat('A', s_suppkey) AS stop_ref, s_name AS common_name,
+           CASE s_suppkey % 3 WHEN 0 THEN concat('LN', s_nationkey) WHEN 1 THEN concat('NR', s_nationkey)
+                ELSE '' END AS locality_name,
+           CASE WHEN s_suppkey % 4 <> 3 AND s_suppkey % 2 = 0 THEN CAST(s_nationkey + 0.5 AS VARCHAR)
+                ELSE '' END AS latitude,
+           CASE WHEN s_suppkey % 4 <> 3 AND s_suppkey % 2 = 0 THEN CAST(-s_nationkey - 0.25 AS VARCHAR)
+                ELSE '' END AS longitude,
+           CASE WHEN s_suppkey % 4 <> 3 AND s_suppkey % 2 = 0 THEN '1' ELSE '0' END AS has_coordinates,
+           CASE WHEN s_suppkey % 4 = 3 THEN 'annotated_reference' ELSE 'local_definition' END AS source_type
+    FROM supplier
+    """,
+)
+def document_stops(net):
+    """Stops with values at any depth and in any order; every third document breaks off after them."""
+    records = shredding.stop_records(xml_elements.elements_of(net.stop_documents))
+    return records.drop("source_file", "position")

@@ -166,6 +166,58 @@ class SampleNetwork:
             document.alias("xml"),
         )
 
+    @cached_property
+    def timetable_documents(self) -> DataFrame:
+        """Documents of many journeys and pattern links; those of number 9k + 8 break off at their end.
+
+        A journey has one link as a child and one below a wrapper. A document holds every 500th
+        order; on more data there are more orders, hence larger documents, as in a timetable.
+        """
+        line, order = _text("l_linenumber"), _text("l_orderkey")
+        reference = F.concat(F.lit("<JourneyPatternTimingLinkRef> JL"), _text("l_partkey"), F.lit("</JourneyPatternTimingLinkRef>"))
+        journey = F.concat(
+            F.lit("<VehicleJourney><X><ServiceRef>not its child</ServiceRef></X><VehicleJourneyCode>VJ"), order,
+            F.lit("</VehicleJourneyCode><LineRef>\n\t"), F.col("p_brand"), F.lit("\u00a0</LineRef><JourneyPatternRef>JP"), _text("l_suppkey"),
+            F.lit("</JourneyPatternRef><VehicleJourneyTimingLink id=\"VL"), line, F.lit("a\">"), reference, F.lit("<RunTime>PT"), _text("minutes"),
+            F.lit("M</RunTime></VehicleJourneyTimingLink><Wrap><Deep><VehicleJourneyTimingLink id=\"VL"), line, F.lit("n\">"), reference,
+            F.lit("<In><RunTime>PT9M</RunTime></In></VehicleJourneyTimingLink></Deep></Wrap></VehicleJourney>"),
+        )
+        status = F.when(F.col("l_linestatus") == "F", "<Y><TimingStatus>PTP</TimingStatus></Y>").otherwise("")
+        link = F.concat(
+            F.lit("<JourneyPatternTimingLink id=\"JL"), _text("l_partkey"), F.lit("\"><From SequenceNumber=\""), line,
+            F.lit("\"><Z><StopPointRef>S"), _text("l_suppkey"), F.lit("</StopPointRef></Z>"), status, F.lit("</From><To SequenceNumber=\""),
+            _text(F.col("l_linenumber") + 1), F.lit("\"><StopPointRef>T"), _text("to_key"),
+            F.lit("</StopPointRef><Activity>setDown</Activity></To><RouteLinkRef>RL"), _text("p_size"), F.lit("</RouteLinkRef></JourneyPatternTimingLink>"),
+        )
+        number = F.col("l_orderkey") % 500
+        rows = self.lines.select(number.alias("number"), F.struct("l_orderkey", "l_linenumber", "l_suppkey", F.concat(journey, link).alias("xml")).alias("row"))
+        return self._documents(rows, F.col("number") % 9 == 8)
+
+    @cached_property
+    def stop_documents(self) -> DataFrame:
+        """Documents of stops, local ones and references, whose values stand in several places."""
+        key, nation = F.col("s_suppkey"), _text("s_nationkey")
+        name = F.concat(F.lit("<Descriptor><Inner><CommonName> "), F.col("s_name"), F.lit(" </CommonName></Inner></Descriptor><CommonName>later</CommonName>"))
+        quarter = F.concat(F.lit("<Place><LocalityName>LN"), nation, F.lit("</LocalityName></Place>"))
+        reference = F.concat(F.lit("<Deep><NptgLocalityRef>NR"), nation, F.lit("</NptgLocalityRef></Deep>"))
+        place = F.when(key % 3 == 0, F.concat(F.lit("<LocalityQualifier> </LocalityQualifier>"), quarter, reference)).when(key % 3 == 1, F.concat(reference, quarter)).otherwise("")
+        values = (F.lit("<L><Latitude>"), nation, F.lit(".5</Latitude><M><Longitude>-"), nation, F.lit(".25</Longitude></M></L>"))
+        where = F.when(key % 2 == 0, F.concat(*values)).otherwise("<Latitude>91</Latitude><Longitude>-180.5</Longitude>")
+        local = F.concat(F.lit("<StopPoint><AtcoCode>A"), _text(key), F.lit("</AtcoCode>"), name, place, where, F.lit("</StopPoint>"))
+        cited = F.concat(F.lit("<AnnotatedStopPointRef><R><StopPointRef>A"), _text(key), F.lit("</StopPointRef></R>"), name, place, where, F.lit("</AnnotatedStopPointRef>"))
+        stop = F.struct("s_suppkey", F.when(key % 4 == 3, cited).otherwise(local).alias("xml")).alias("row")
+        return self._documents(self.table("supplier").select((key % 50).alias("number"), stop), F.col("number") % 3 == 2)
+
+    @staticmethod
+    def _documents(rows: DataFrame, broken: Column) -> DataFrame:
+        """One document for each number, of the rows' XML in their order."""
+        body = F.array_join(F.transform(F.array_sort(F.collect_list("row")), lambda r: r.xml), "")
+        name = F.concat(F.lit("d"), _text("number"))
+        head = F.lit('<?xml version="1.0" encoding="UTF-8"?><t:Root xmlns:t="urn:t" xmlns="urn:d"><A>')
+        whole = F.concat(head, body, F.when(broken, "</A>").otherwise("</A></t:Root>"))
+        documents = rows.groupBy("number").agg(whole.cast("binary").alias("content"))
+        return documents.select(name.alias("source_file"), name.alias("path"), "content")
+
     @cached_property
     def flat_links(self) -> DataFrame:
         """Pattern links per file. A part ordered again in the same file redefines its link."""
