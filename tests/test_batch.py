@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from timelegs.operators import cleaning, modelling, quality, serving
 from timelegs.plans import batch, inspect
-from timelegs.sources import tables
+from timelegs.sources import snapshots, tables
 
 
 def document(file_number: int) -> str:
@@ -142,12 +142,23 @@ def test_training_and_serving(spark, run, monkeypatch):
     assert serving.run_query(spark, "best_model", loaded).first()["model_name"] == "Tree"
     counts = {r[0]: r[1] for r in serving.table_counts(loaded).collect()}
     assert counts["model_results"] == 1
+    for table in quality.NUMBERED:
+        key = quality.PRIMARY_KEYS[table][0]
+        n, least, greatest, distinct = loaded[table].agg(F.count("*"), F.min(key), F.max(key), F.count_distinct(key)).first()
+        assert (least, greatest, distinct) == (1, n, n)
+    batch.write_serving_reports(spark, run["out"])
+    shown = {r["table_name"]: int(r["row_count"]) for r in spark.read.option("header", True).csv(run["out"].at("reports/database_summary")).collect()}
+    assert shown == counts
+    injected = spark.read.option("header", True).csv(run["out"].at("reports/injection_check")).first()
+    assert injected[0] == "0"
+    statements = spark.read.text(run["out"].at("reports/sample_data")).count()
+    assert statements == sum(min(5, n) for n in counts.values())
     far = run["stops"].withColumn("latitude", F.lit(91.0))
     with pytest.raises(quality.ConstraintError, match="stops.latitude_range"):
         batch.load_serving(
             spark, far, run["enriched"], results, predictions, comparison.best_name, run["out"]
         )
-    published = tables.read_parquet(spark, run["out"].at("serving/stops"))
+    published = batch.published_serving(spark, run["out"])["stops"]
     assert published.filter("latitude > 90").count() == 0 and published.count() > 0
     with pytest.raises(ValueError, match="not among"):
         batch.load_serving(
@@ -155,6 +166,37 @@ def test_training_and_serving(spark, run, monkeypatch):
         )
 
 
+def test_a_set_is_published_by_its_pointer(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "tables")
+
+    def write(value):
+        folder = snapshots.new_set(base)
+        spark.range(value).write.parquet(f"{folder}/t")
+        return folder
+
+    def rows():
+        return spark.read.parquet(snapshots.published(spark, base) + "/t").count()
+
+    with pytest.raises(FileNotFoundError, match="nothing has been published"):
+        snapshots.published(spark, base)
+    snapshots.publish(spark, base, write(1))
+    lost = write(2)  # a publisher that fails between the write and the pointer
+    assert rows() == 1
+    pointers = tmp_path / "tables" / "_pointers"
+    (pointers / "0000000002").write_text(lost.rsplit("/", 1)[1])  # one that fails within the pointer
+    assert rows() == 1
+    snapshots.publish(spark, base, write(3))
+    assert rows() == 3
+    late = snapshots._pointers  # a publisher that doesn't see the latest pointer takes the next number
+    monkeypatch.setattr(snapshots, "_pointers", lambda *a: late(*a)[1:])
+    snapshots.publish(spark, base, write(4))
+    monkeypatch.undo()
+    assert rows() == 4
+    snapshots.prune(spark, base, keep=2)
+    assert rows() == 4 and len(snapshots._pointers(spark, base)) == 2
+    assert sorted(p.name for p in (tmp_path / "tables" / "sets").iterdir()) != []
+
+
 def test_settings_grow_with_the_input():
     from timelegs.plans.session import settings
 

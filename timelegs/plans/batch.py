@@ -6,7 +6,6 @@ row groups, and survives the loss of any executor.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -20,10 +19,10 @@ from timelegs.operators import (
     shredding,
     stops,
 )
-from timelegs.operators.quality import key_exists, require_constraints
+from timelegs.operators.quality import RULES, key_exists, require_constraints, rule_counts
 from timelegs.operators.records import beside
-from timelegs.sources import journeys_xml, sinks, tables, xml_elements
-from timelegs.sources.stage import remove_folder, replace_folder
+from timelegs.sources import journeys_xml, sinks, snapshots, tables, xml_elements
+from timelegs.sources.stage import remove_folder
 
 
 @dataclass(frozen=True)
@@ -185,8 +184,9 @@ def load_serving(
     """The four serving tables, written with the column that lookups name first leading
     the sort order.
 
-    They are written beside the published ones and checked against all rules there. If any row
-    breaks one, the load stops with the counts and what was published before stays.
+    They are written to a folder of their own, where the rules are checked: those of single rows
+    on the write, keys and references on what was written. If any row breaks one, the load stops
+    with the counts, and what was published before stays. ``published_serving`` reads them.
     """
     if not key_exists(results, "model_name", model_name).first()["found"]:
         raise ValueError(f"the model is not among the model results: {model_name}")
@@ -200,14 +200,32 @@ def load_serving(
             prediction_rows, "prediction_id", ["line_ref", "is_model_anomaly"]
         ),
     }
-    staged = f"serving-{uuid.uuid4().hex}"
+    base = out.at("serving")
+    folder = snapshots.new_set(base)
     try:
-        for name, df in loads.items():
-            sinks.write_parquet(df, out.at(f"{staged}/{name}"))
-        require_constraints(
-            {name: tables.read_parquet(spark, out.at(f"{staged}/{name}")) for name in loads}
-        )
-        replace_folder(spark, out.at(staged), out.at("serving"))
-    finally:
-        remove_folder(spark, out.at(staged))
-    return {name: tables.read_parquet(spark, out.at(f"serving/{name}")) for name in loads}
+        measured = {
+            name: sinks.write_observed(df, f"{folder}/{name}", rule_counts(name))
+            for name, df in loads.items()
+        }
+        written = {name: tables.read_parquet(spark, f"{folder}/{name}") for name in loads}
+        require_constraints(written, measured)
+    except BaseException:
+        remove_folder(spark, folder)
+        raise
+    snapshots.publish(spark, base, folder)
+    return published_serving(spark, out)
+
+
+def published_serving(spark: SparkSession, out: Layout) -> dict[str, DataFrame]:
+    """The serving tables of the last load that passed."""
+    folder = snapshots.published(spark, out.at("serving"))
+    return {name: tables.read_parquet(spark, f"{folder}/{name}") for name in RULES}
+
+
+def write_serving_reports(spark: SparkSession, out: Layout) -> None:
+    """Row counts of the published tables, the injection check, and statements for a few rows."""
+    loaded = published_serving(spark, out)
+    sinks.write_csv(serving.table_counts(loaded), out.at("reports/database_summary"))
+    found = serving.run_query(spark, "route_lookup", loaded, {"line_ref": serving.INJECTION_TEXT})
+    sinks.write_csv(found, out.at("reports/injection_check"))
+    sinks.write_statements(serving.sample_export(loaded), out.at("reports/sample_data"))

@@ -5,6 +5,9 @@ Parameters are fixed per query, so that the SQL can state them; the tables are w
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timelegs.operators import quality, serving
@@ -70,18 +73,21 @@ def serving_counts(net):
 @query(
     "assigned_ids",
     """
-    SELECT line_ref, count(*) AS row_count, count(*) AS distinct_ids, true AS all_positive
+    SELECT line_ref, count(*) AS row_count, count(*) AS distinct_ids,
+           CAST(sum(count(*)) OVER (ORDER BY line_ref) - count(*) + 1 AS BIGINT) AS first_id,
+           CAST(sum(count(*)) OVER (ORDER BY line_ref) AS BIGINT) AS last_id
     FROM enriched GROUP BY line_ref
     """,
     ["enriched"],
 )
 def assigned_ids(net):
-    """Ids of the serving segments, counted per line. Every row has one of its own."""
+    """Ids of the serving segments per line: they run on from line to line without a gap."""
     ids = serving.assign_ids(net.serving["segments"], "segment_id", ["line_ref", "departure_hour"])
     return ids.groupBy("line_ref").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct("segment_id").alias("distinct_ids"),
-        F.bool_and(F.col("segment_id") > 0).alias("all_positive"),
+        F.min("segment_id").alias("first_id"),
+        F.max("segment_id").alias("last_id"),
     )
 
 
@@ -455,3 +461,121 @@ def fk_violations(net):
         ("predictions", "to_stop_ref", "stops", "stop_ref"),
     ]
     return quality.fk_violations(tables, keys)
+
+
+@query(
+    "serving_rules",
+    """
+    SELECT 'stops' AS table_name, 'latitude_range' AS rule, count(*) FILTER (WHERE s_nationkey * 8 - 95 NOT BETWEEN -90 AND 90) AS broken
+    FROM supplier
+    UNION ALL SELECT 'stops', 'longitude_range', count(*) FILTER (WHERE s_nationkey * 15 - 185 NOT BETWEEN -180 AND 180) FROM supplier
+    UNION ALL SELECT 'stops', 'stop_name_null', count(*) FILTER (WHERE s_nationkey = 3) FROM supplier
+    UNION ALL SELECT 'model_results', 'rank_positive', count(*) FILTER (WHERE n_regionkey < 1) FROM nation
+    UNION ALL SELECT 'model_results', 'rmse_not_negative', count(*) FILTER (WHERE n_nationkey < 1) FROM nation
+    UNION ALL SELECT 'model_results', 'mae_not_negative', count(*) FILTER (WHERE n_nationkey < 2) FROM nation
+    UNION ALL SELECT 'model_results', 'training_seconds_not_negative', count(*) FILTER (WHERE n_nationkey < 3) FROM nation
+    UNION ALL SELECT 'model_results', 'evaluation_seconds_not_negative', count(*) FILTER (WHERE n_nationkey < 4) FROM nation
+    UNION ALL SELECT 'model_results', 'r2_null', count(*) FILTER (WHERE n_nationkey = 5) FROM nation
+    UNION ALL SELECT 'segments', 'hour_range', count(*) FILTER (WHERE departure_hour + 6 NOT BETWEEN 0 AND 23) FROM enriched
+    UNION ALL SELECT 'segments', 'peak_flag', count(*) FILTER (WHERE is_peak_hour + departure_hour // 20 NOT IN (0, 1)) FROM enriched
+    UNION ALL SELECT 'segments', 'distance_not_negative', count(*) FILTER (WHERE distance_km - 0.5 < 0) FROM enriched
+    UNION ALL SELECT 'segments', 'runtime_positive', count(*) FILTER (WHERE runtime_minutes - 5 <= 0) FROM enriched
+    UNION ALL SELECT 'segments', 'iqr_flag', count(*) FILTER (WHERE is_iqr_high_duration - departure_hour // 20 NOT IN (0, 1)) FROM enriched
+    UNION ALL SELECT 'segments', 'distance_km_null', count(*) FILTER (WHERE distance_km IS NULL) FROM enriched
+    UNION ALL SELECT 'segments', 'departure_hour_null', count(*) FILTER (WHERE departure_hour IS NULL) FROM enriched
+    UNION ALL SELECT 'predictions', 'distance_not_negative', count(*) FILTER (WHERE distance_km - 0.5 < 0) FROM predictions
+    UNION ALL SELECT 'predictions', 'runtime_positive', count(*) FILTER (WHERE runtime_minutes - 5 <= 0) FROM predictions
+    UNION ALL SELECT 'predictions', 'error_not_negative', count(*) FILTER (WHERE absolute_error_minutes - 0.25 < 0) FROM predictions
+    UNION ALL SELECT 'predictions', 'anomaly_flag', count(*) FILTER (WHERE is_model_anomaly + is_model_anomaly NOT IN (0, 1)) FROM predictions
+    """,
+    ["enriched", "predictions"],
+)
+def serving_rules(net):
+    """All rules of the four serving tables as they ship, over values that break each in some rows."""
+    late = F.floor(F.col("departure_hour") / 20)
+    nation = F.col("n_nationkey")
+    shifted = {
+        "stops": net.table("supplier").select(
+            F.col("s_name").alias("stop_ref"),
+            F.when(F.col("s_nationkey") != 3, F.col("s_name")).alias("stop_name"),
+            (F.col("s_nationkey") * 8.0 - 95).alias("latitude"),
+            (F.col("s_nationkey") * 15.0 - 185).alias("longitude"),
+        ),
+        "model_results": net.table("nation").select(
+            F.col("n_name").alias("model_name"),
+            F.col("n_regionkey").alias("rank_by_rmse"),
+            F.col("n_name").alias("configuration"),
+            (nation - 1).alias("rmse"),
+            (nation - 2).alias("mae"),
+            F.when(nation != 5, nation).alias("r2"),
+            (nation - 3).alias("training_seconds"),
+            (nation - 4).alias("evaluation_seconds"),
+        ),
+        "segments": net.serving["segments"].withColumns(
+            {
+                "segment_id": F.xxhash64("segment_key"),
+                "departure_hour": F.col("departure_hour") + 6,
+                "is_peak_hour": F.col("is_peak_hour") + late,
+                "distance_km": F.col("distance_km") - 0.5,
+                "runtime_minutes": F.col("runtime_minutes") - 5,
+                "is_iqr_high_duration": F.col("is_iqr_high_duration") - late,
+            }
+        ),
+        "predictions": net.serving["predictions"].withColumns(
+            {
+                "prediction_id": F.xxhash64("segment_key"),
+                "distance_km": F.col("distance_km") - 0.5,
+                "actual_runtime_minutes": F.col("actual_runtime_minutes") - 5,
+                "absolute_error_minutes": F.col("absolute_error_minutes") - 0.25,
+                "is_model_anomaly": F.col("is_model_anomaly") * 2,
+            }
+        ),
+    }
+    nulls = {"stops": ["stop_name"], "model_results": ["r2"], "segments": ["distance_km", "departure_hour"], "predictions": []}
+    parts = []
+    for table, df in shifted.items():
+        rules = [*quality.RULES[table], *[f"{c}_null" for c in nulls[table]]]
+        cells = F.array(*[F.struct(F.lit(c).alias("rule"), F.col(c).alias("broken")) for c in rules])
+        found = quality.table_violations(df, table)
+        parts.append(found.select(F.lit(table).alias("table_name"), F.inline(cells)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "fk_all",
+    """
+    SELECT 'segments.from_stop_ref' AS foreign_key, count(DISTINCT from_stop_ref) AS orphan_values, count(*) AS orphan_rows
+    FROM enriched WHERE from_stop_ref NOT IN (SELECT stop_ref FROM matched)
+    UNION ALL SELECT 'segments.to_stop_ref', count(DISTINCT to_stop_ref), count(*)
+    FROM enriched WHERE to_stop_ref NOT IN (SELECT stop_ref FROM matched)
+    UNION ALL SELECT 'predictions.model_name', count(DISTINCT line_ref), count(*)
+    FROM predictions WHERE line_ref NOT IN (SELECT p_brand FROM part WHERE p_brand NOT LIKE '%5')
+    UNION ALL SELECT 'predictions.from_stop_ref', count(DISTINCT from_stop_ref), count(*)
+    FROM predictions WHERE from_stop_ref NOT IN (SELECT stop_ref FROM matched)
+    UNION ALL SELECT 'predictions.to_stop_ref', count(DISTINCT to_stop_ref), count(*)
+    FROM predictions WHERE to_stop_ref NOT IN (SELECT stop_ref FROM matched)
+    """,
+    ["enriched", "predictions", "matched"],
+)
+def fk_all(net):
+    """The five references of the serving tables as they ship; the line stands for the model."""
+    brands = net.table("part").filter("p_brand NOT LIKE '%5'").select(F.col("p_brand").alias("model_name"))
+    tables = {
+        "segments": net.serving["segments"],
+        "predictions": net.serving["predictions"].withColumn("model_name", F.col("line_ref")),
+        "stops": net.matched_stops,
+        "model_results": brands.distinct(),
+    }
+    return quality.fk_violations(tables)
+
+
+@query(
+    "sample_statements",
+    """
+    SELECT concat('INSERT INTO supplier (s_suppkey, s_nationkey, s_name) VALUES (', s_suppkey, ', ', s_nationkey, ', ''', s_name, ''');') AS value
+    FROM supplier ORDER BY s_suppkey LIMIT 5
+    """,
+)
+def sample_statements(net):
+    """The export of the first rows of a table, in its own order."""
+    return serving.sample_export({"supplier": net.table("supplier").select("s_suppkey", "s_nationkey", "s_name")})

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from timelegs.operators.serving import without_coordinates
-
 
 # Without these the writer trims its text, and a blank value would come back as NULL.
 CSV_OPTIONS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -29,8 +27,21 @@ def write_parquet(
     Zero rows (unless allowed), or another number than ``expected_rows``, is an error. The
     count is an observation on the write itself, so no second job reads the data.
     """
+    return write_observed(df, path, [], expected_rows, partition_by, mode, allow_empty)["rows"]
+
+
+def write_observed(
+    df: DataFrame,
+    path: str,
+    metrics: list[Column],
+    expected_rows: int | None = None,
+    partition_by: list[str] | None = None,
+    mode: str = "overwrite",
+    allow_empty: bool = False,
+) -> dict:
+    """``write_parquet`` that also returns aggregates of the rows, taken while they are written."""
     observation = Observation()
-    counted = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    counted = df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
     writer = counted.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -40,7 +51,7 @@ def write_parquet(
         raise WriteError(f"no records were written to {path}")
     if expected_rows is not None and rows != expected_rows:
         raise WriteError(f"expected {expected_rows} rows in {path}, wrote {rows}")
-    return rows
+    return observation.get
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -66,4 +77,6 @@ def write_statements(statements: DataFrame, path: str, mode: str = "overwrite")
 
 def export_result(result: DataFrame, path: str) -> None:
     """A detail result as CSV, without its map coordinates."""
+    from timelegs.operators.serving import without_coordinates  # which writes tables itself
+
     write_csv(without_coordinates(result), path)

@@ -35,25 +35,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/timelegs-{name}-{uuid.uuid4().hex}"
 
 
-def _placed(spark: SparkSession, path: str):
+def placed(spark: SparkSession, path: str):
+    """A path and the store that it is in."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate files, in whatever store it is; nothing if it is not there."""
-    place, store = _placed(spark, path)
+    place, store = placed(spark, path)
     store.delete(place, True)
 
 
-def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put a written folder in the place of another one."""
-    remove_folder(spark, path)
-    place, store = _placed(spark, new)
-    if not store.rename(place, _placed(spark, path)[0]):
-        raise OSError(f"cannot rename {new} to {path}")
-
-
 def stage(name: str, build) -> DataFrame:
     """The table ``name`` of this application: written from ``build()`` the first time it is
     asked for, read back from then on. Name it after everything that it depends on."""
