@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -208,3 +209,29 @@ def test_exact_quantile_of_ties_and_gaps(spark):
     df = spark.createDataFrame([(None,)] + [(1.0,)] * 6 + [(2.0,)] * 3 + [(9.0,)], "x double")
     assert [measures.exact_quantile(df, "x", p) for p in (0.1, 0.6, 0.61, 0.9, 0.95)] == [1.0, 1.0, 2.0, 2.0, 9.0]
     assert measures.exact_quantile(df.filter("x > 10"), "x", 0.5) is None
+
+
+def test_exact_quantiles_of_every_kind_of_number(spark):
+    rng = random.Random(4)
+    odd = [0.0, -0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 1.7e308, -1.7e308]
+    values = odd + [rng.choice([rng.gauss(0, 1), rng.gauss(0, 1e-300), rng.gauss(0, 1e300), float(rng.randrange(3))]) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(5)
+    points = {f"p{i}": i / 10 for i in range(11)}
+    got = measures.exact_quantiles(df, "x", points).first().asDict()
+    assert got == {k: sorted(values)[max(1, math.ceil(p * len(values))) - 1] for k, p in points.items()}
+    none = measures.exact_quantiles(df.filter("x IS NULL"), "x", points).first()
+    assert set(none) == {None}
+
+
+def test_kth_smallest(spark):
+    values = [5, -(2**63), 2**63 - 1, 0, -1, 5]
+    df = spark.createDataFrame([(v,) for v in values], "x bigint")
+    got = [measures.kth_smallest(df, "x", k).first()[0] for k in (1, 2, 4, 5, 6, 9)]
+    assert got == [-(2**63), -1, 5, 5, 2**63 - 1, 2**63 - 1]
+
+
+def test_exact_quantiles_take_four_scans(spark, tmp_path):
+    spark.range(1000).select(F.col("id").cast("double").alias("x")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = measures.exact_quantiles(df, "x", {"a": 0.5, "b": 0.9, "c": 0.99})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 4

@@ -150,3 +150,29 @@ def test_directions(spark):
         modelling.SHORTER,
         modelling.WITHIN,
     ]
+
+
+def test_too_many_categories_are_an_error(spark):
+    df = spark.range(100_000).select(F.concat(F.lit("L"), "id").alias("line_ref"))
+    with pytest.raises(modelling.CategoryError, match="line_ref has 100000 categories"):
+        modelling.require_few_categories(df, ["line_ref"])
+    modelling.require_few_categories(df, ["line_ref"], 100_000)
+
+
+def test_a_sample_has_the_stated_size(spark):
+    df = spark.range(5000).select(
+        F.col("id").cast("double").alias("residual_minutes"),
+        *[F.col("id").cast("string").alias(c) for c in modelling.SAMPLED_BY],
+    )
+    once = {r[0] for r in modelling.residual_rows(df, 100).collect()}
+    again = {r[0] for r in modelling.residual_rows(df.repartition(7), 100).collect()}
+    assert once == again and len(once) == 100
+    assert modelling.residual_rows(df, 6000).count() == 5000
+
+
+def test_training_leaves_the_checkpoint_folder_of_the_session(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "mine"))
+    kept = modelling.keep_for_reuse(spark.range(3).toDF("x"), str(tmp_path / "other"))
+    assert kept.count() == 3
+    assert "mine" in spark.sparkContext.getCheckpointDir()
+    kept.unpersist()

@@ -109,22 +109,18 @@ def match_counters(enriched: DataFrame) -> DataFrame:
 
 
 def distance_statistics(enriched: DataFrame) -> DataFrame:
-    """One row over the positive distances; the quantiles are exact."""
+    """One row over the positive distances; the quantiles are exact and found together."""
     v = "distance_km"
     positive = enriched.filter(F.col(v) > 0)
-
-    def exact(p: float):
-        return F.lit(measures.exact_quantile(positive, v, p)).cast("double")
-
-    return positive.agg(
+    points = {"median_distance_km": 0.50, "percentile_95_distance_km": 0.95, "percentile_99_distance_km": 0.99}
+    moments = positive.agg(
         F.round(F.avg(v), 6).alias("mean_distance_km"),
         F.round(F.stddev_samp(v), 6).alias("standard_deviation_distance_km"),
         F.round(F.min(v), 6).alias("minimum_distance_km"),
-        exact(0.50).alias("median_distance_km"),
-        exact(0.95).alias("percentile_95_distance_km"),
-        exact(0.99).alias("percentile_99_distance_km"),
         F.round(F.max(v), 6).alias("maximum_distance_km"),
     )
+    found = beside(moments, measures.exact_quantiles(positive, v, points))
+    return found.select(*moments.columns[:3], *points, moments.columns[3])
 
 
 def feature_summary(enriched: DataFrame) -> DataFrame:

@@ -42,6 +42,10 @@ SEED = 42
 THRESHOLD_POINT = 0.95
 TOP_ANOMALIES = 100
 RESIDUAL_SAMPLE_FRACTION = 0.20
+RESIDUAL_SAMPLE_ROWS = 20_000
+
+# So many values of one category get slots in the vectors.
+MOST_CATEGORIES = 20_000
 SAMPLED_BY = ("source_file", "vehicle_journey_code", "segment_key", "departure_time")
 
 # Stands for an unknown number, such as the hour of an unreadable departure time. It lies
@@ -53,6 +57,10 @@ LONGER = "Longer than expected"
 SHORTER = "Shorter than expected"
 
 
+class CategoryError(ValueError):
+    """A feature has too many categories to be encoded."""
+
+
 class LeakageError(RuntimeError):
     """A segment appears in the training and in the test rows."""
 
@@ -128,6 +136,20 @@ def require_no_leakage(train: DataFrame, test: DataFrame) -> None:
         raise LeakageError(f"{found} segments are in the training and in the test rows")
 
 
+def require_few_categories(
+    df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, limit: int = MOST_CATEGORIES
+) -> None:
+    """An error with the counts when a column has more distinct values than ``limit``.
+
+    The indexer brings each distinct value to the driver, and each gets a slot of every vector,
+    so their number is checked first: by an aggregate per column of which one number returns.
+    """
+    for column in columns:
+        found = df.select(column).distinct().agg(F.count(column)).first()[0]
+        if found > limit:
+            raise CategoryError(f"{column} has {found} categories, more than {limit}")
+
+
 # --- features -----------------------------------------------------------------------
 
 
@@ -191,8 +213,14 @@ def keep_for_reuse(df: DataFrame, folder: str) -> DataFrame:
 
     A lost executor then costs a re-read of its partitions, not the whole lineage again.
     """
-    df.sparkSession.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
+    context = df.sparkSession.sparkContext
+    before = context.getCheckpointDir() or shared_folder(df.sparkSession)
+    context.setCheckpointDir(folder)
+    try:
+        kept = df.checkpoint()
+    finally:
+        context.setCheckpointDir(before)  # what the session checkpoints later goes where it went before
+    return kept.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
@@ -209,6 +237,7 @@ def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
     rows = keep_for_reuse(fixed_layout(known), folder)
     train, test = split_rows(rows)
     require_no_leakage(train, test)
+    require_few_categories(train)
     encoder = feature_stages().fit(train)
     kept = [*PREDICTION_IDENTIFIERS, "label", "features"]
     prepared = PreparedData(
@@ -363,8 +392,18 @@ def residual_threshold(
     train_residuals: DataFrame, point: float = THRESHOLD_POINT
 ) -> DataFrame:
     """One row: the absolute error that all but the largest training errors stay within, exactly."""
-    limit = measures.exact_quantile(train_residuals, "absolute_error_minutes", point)
-    return train_residuals.sparkSession.createDataFrame([(limit,)], "residual_threshold double")
+    return measures.exact_quantiles(train_residuals, "absolute_error_minutes", {"residual_threshold": point})
+
+
+def training_threshold(model: Model, data: PreparedData) -> DataFrame:
+    """One row: ``residual_threshold`` of the training rows, which are scored once for it.
+
+    The errors, one number a row, are written beside the prepared rows and go with them.
+    """
+    path = f"{data.folder}/errors-{uuid.uuid4().hex}"
+    add_residuals(model.transform(data.train)).select("absolute_error_minutes").write.parquet(path)
+    limit = residual_threshold(data.train.sparkSession.read.parquet(path))
+    return limit.sparkSession.createDataFrame([limit.first()], limit.schema)
 
 
 def flag_anomalies(residuals: DataFrame, threshold: DataFrame) -> DataFrame:
@@ -380,10 +419,11 @@ def flag_anomalies(residuals: DataFrame, threshold: DataFrame) -> DataFrame:
     return flagged.withColumn("anomaly_direction", direction)
 
 
-def score(model: Model, data: PreparedData) -> DataFrame:
+def score(model: Model, data: PreparedData, threshold: DataFrame | None = None) -> DataFrame:
     """Test rows with prediction, residual, flag and direction; the limit is learnt on the
     training rows only."""
-    threshold = residual_threshold(add_residuals(model.transform(data.train)))
+    if threshold is None:
+        threshold = training_threshold(model, data)
     return flag_anomalies(add_residuals(model.transform(data.test)), threshold).select(
         *PREDICTION_COLUMNS
     )
@@ -436,6 +476,20 @@ def residual_sample(flagged: DataFrame, fraction: float = RESIDUAL_SAMPLE_FRACTI
     return flagged.filter(place < F.lit(f"{round(fraction * 65536):04x}")).select("residual_minutes")
 
 
+def residual_rows(flagged: DataFrame, rows: int = RESIDUAL_SAMPLE_ROWS) -> DataFrame:
+    """A sample of the residuals of a stated size, for a chart: the rows of least hash.
+
+    The hash of the last row is found by counting, so no task holds or sorts the sample, and the
+    same rows come out every time. All rows, if there are fewer; rows with the identifiers of
+    the last one come with it.
+    """
+    known = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SAMPLED_BY]
+    digits = F.substring(F.md5(F.concat_ws("|", *known).cast("binary")), 1, 15)
+    hashed = flagged.select("residual_minutes", F.conv(digits, 16, 10).cast("bigint").alias("_hash"))
+    last = measures.kth_smallest(hashed, "_hash", rows).scalar()
+    return hashed.filter(F.col("_hash") <= last).select("residual_minutes")
+
+
 def feature_importance(model: Model, names: Sequence[str], spark) -> DataFrame:
     """Features ranked by importance, or by absolute coefficient for a linear model.
 

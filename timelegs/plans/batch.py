@@ -124,7 +124,8 @@ def train(spark: SparkSession, enriched: DataFrame, out: Layout) -> modelling.Co
     try:
         comparison = modelling.compare_models(data)
         sinks.write_parquet(comparison.results, out.at("model_results"))
-        scored = modelling.score(comparison.best_model, data)
+        threshold = modelling.training_threshold(comparison.best_model, data)
+        scored = modelling.score(comparison.best_model, data, threshold)
         sinks.write_parquet(scored, out.at("test_predictions"), expected_rows=data.test.count())
         importance = modelling.feature_importance(
             comparison.best_model, modelling.feature_names(data.train), spark
@@ -134,11 +135,8 @@ def train(spark: SparkSession, enriched: DataFrame, out: Layout) -> modelling.Co
         sinks.write_metrics(summary, out.at("reports/best_model_summary"))
         split = modelling.split_summary(data.train, data.test)
         sinks.write_metrics(split, out.at("reports/model_split_summary"))
-        errors = modelling.add_residuals(comparison.best_model.transform(data.train))
         predictions = tables.read_parquet(spark, out.at("test_predictions"))
-        anomalies = beside(
-            modelling.anomaly_summary(predictions), modelling.residual_threshold(errors)
-        )
+        anomalies = beside(modelling.anomaly_summary(predictions), threshold)
         sinks.write_metrics(anomalies, out.at("reports/model_anomaly_summary"))
     finally:
         data.release()

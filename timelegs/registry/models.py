@@ -231,6 +231,21 @@ def residual_sample(net):
     return sample.select(F.round("residual_minutes", 6).alias("residual_minutes"))
 
 
+@query(
+    "residual_rows",
+    """
+    SELECT round(residual_minutes, 6) AS residual_minutes FROM predictions
+    QUALIFY rank() OVER (ORDER BY substr(md5(concat_ws('|', coalesce(source_file, ''), coalesce(vehicle_journey_code, ''),
+                                  coalesce(segment_key, ''), coalesce(departure_time, ''))), 1, 15)) <= 1000
+    """,
+    ["predictions"],
+)
+def residual_rows(net):
+    """A sample of a thousand rows, whatever the size of the table."""
+    sample = modelling.residual_rows(net.predictions_table, 1000)
+    return sample.select(F.round("residual_minutes", 6).alias("residual_minutes"))
+
+
 @query("feature_importance")
 def feature_importance(net):
     data = modelling.prepare(net.enriched_table)

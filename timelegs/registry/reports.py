@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from timelegs.operators import analytics, enrichment, stops
+from timelegs.operators import analytics, enrichment, rollups, stops
 from timelegs.registry.book import query
+from timelegs.sources.stage import new_folder
 
 CENTRE = """
     count(*) AS record_count, round(avg(runtime_minutes), 4) AS average_runtime_minutes,
@@ -320,3 +323,39 @@ def residual_histogram(net):
 
     residuals = add_residuals(net.mean_predictions)
     return analytics.equal_width_histogram(residuals, "residual_minutes").select("bin", "record_count")
+
+
+@query(
+    "distinct_rollup",
+    """
+    SELECT line_ref, departure_hour, count(DISTINCT segment_key) AS unique_segments
+    FROM enriched GROUP BY GROUPING SETS ((line_ref, departure_hour), (line_ref), (departure_hour), ())
+    """,
+    ["enriched"],
+)
+def distinct_rollup(net):
+    """Distinct segments by line and hour, by line, by hour and in all, from one table of bitmaps."""
+    groups = ["line_ref", "departure_hour"]
+    path = new_folder(net.spark, "bitmaps")
+    rollups.key_bitmaps(net.enriched_table, groups, ["segment_key"]).write.parquet(path)
+    bitmaps = net.spark.read.parquet(path)
+    parts = [rollups.distinct_keys(bitmaps, by, "unique_segments") for by in (groups, groups[:1], groups[1:], [])]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+@query(
+    "line_distinct_counts",
+    """
+    SELECT line_ref, count(DISTINCT segment_key) AS unique_segments,
+           count(DISTINCT (source_file, vehicle_journey_code)) AS unique_vehicle_journeys
+    FROM enriched GROUP BY line_ref
+    """,
+    ["enriched"],
+)
+def line_distinct_counts(net):
+    """Two distinct counts per line, each from bitmaps by line and hour."""
+    counts = []
+    for name, key in (("unique_segments", ["segment_key"]), ("unique_vehicle_journeys", ["source_file", "vehicle_journey_code"])):
+        bitmaps = rollups.key_bitmaps(net.enriched_table, ["line_ref", "departure_hour"], key)
+        counts.append(rollups.distinct_keys(bitmaps, ["line_ref"], name))
+    return counts[0].join(counts[1], "line_ref")
