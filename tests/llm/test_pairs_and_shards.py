@@ -164,3 +164,14 @@ def test_many_rows_a_file_are_numbered_in_parts(spark, documents, monkeypatch):
     monkeypatch.setattr(differencing, "ROWS_A_FILE", 7)
     rows = differencing.divide(documents, keep=["doc_id"]).collect()
     check_shards([(r["row"]["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in rows], pairs(documents))
+
+
+def test_the_faster_encoder_gives_the_same_ids():
+    rng = random.Random(5)
+    plain = [chr(c) for c in [9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x250)]]
+    texts = ["".join(rng.choice(plain) if rng.random() < 0.7 else rng.choice(" \n\tab'se1") for _ in range(rng.randrange(200))) for _ in range(3000)]
+    texts += [c + after for c in plain for after in ("a", " ", "1", "!", "\n")]
+    texts += ["<|endoftext|>x<|endoftext|>", "a" * 3000, "日本   \x1c\x85 x", "  \n\n  x "]
+    model = merge_path.byte_level(FILES[0])[0]
+    assert merge_path.ranked(FILES[0]) is not None
+    assert merge_path.byte_level_ids(texts, FILES[0]) == [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]

@@ -20,8 +20,11 @@ fit into one row, as do its groups.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
+from copy import copy
 from functools import lru_cache
 
 import numpy as np
@@ -62,6 +65,33 @@ def byte_level(path: str):
     return model, entries, np.array([len(e) for e in entries], np.int64)
 
 
+# What splits a text into words is fixed by the format. In these characters, and in words of moderate
+# length, both libraries find the same words; elsewhere their Unicode tables might differ.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = re.compile(r"(?!.*\S{1000})[\t\n\r\x20-\x7e\u00a1-\u024f]*", re.DOTALL)
+
+
+@lru_cache(maxsize=2)
+def ranked(path: str):
+    """A faster encoder of the same vocabulary and merges, or None if they can't be given as ranks.
+
+    Merges are ranks if the ids of what they make rise from merge to merge.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        given = json.load(file)
+    vocabulary, merges = given["model"]["vocab"], given["model"]["merges"]
+    made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+    ruled = given["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    special = {t["id"] for t in given["added_tokens"]}
+    entries = byte_level(path)[1]
+    ranks = {entries[k]: k for k in vocabulary.values() if k not in special}
+    if any(b <= a for a, b in zip(made, made[1:], strict=False)) or not ruled or given["normalizer"] or len(ranks) != 256 + len(made):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str):
     """A piece tokenizer, which puts a space before the text, and the bytes of each of its ids."""
@@ -77,9 +107,19 @@ def pieces(path: str):
     return model, entries, np.array([len(e) for e in entries], np.int64)
 
 
+def byte_level_ids(texts: list[str], path: str) -> list[list[int]]:
+    """The ids of the byte-level tokenizer, by the faster encoder where it gives the same ones."""
+    model, fast = byte_level(path)[0], ranked(path)
+    out = [fast.encode_ordinary(t) if fast and PLAIN.fullmatch(t) else None for t in texts]
+    rest = [k for k, ids in enumerate(out) if ids is None]
+    for k, found in zip(rest, model.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
+        out[k] = found.ids
+    return out
+
+
 def encoded(texts: list[str | None], a_path: str, b_path: str) -> tuple[list[list[int]], list[list[int]]]:
     """The ids of each text on both sides; none where either side's bytes aren't a space and the text."""
-    a_model, a_entries, _ = byte_level(a_path)
+    a_entries = byte_level(a_path)[1]
     b_model, b_entries, _ = pieces(b_path)
     a_out: list[list[int]] = [[] for _ in texts]
     b_out: list[list[int]] = [[] for _ in texts]
@@ -91,11 +131,11 @@ def encoded(texts: list[str | None], a_path: str, b_path: str) -> tuple[list[lis
             size += len(texts[used[upto]])
             upto += 1
         call = used[at:upto]
-        a = [e.ids for e in a_model.encode_batch_fast([" " + texts[k] for k in call], add_special_tokens=False)]
+        a = byte_level_ids([" " + texts[k] for k in call], a_path)
         b = b_model.encode([texts[k] for k in call], num_threads=1)
         for k, x, y in zip(call, a, b, strict=True):
             whole = (" " + texts[k]).encode()
-            if b"".join([a_entries[i] for i in x]) == whole and b"".join([b_entries[i] for i in y]) == whole:
+            if b"".join(map(a_entries.__getitem__, x)) == whole and b"".join(map(b_entries.__getitem__, y)) == whole:
                 a_out[k], b_out[k] = x, y
         at = upto
     return a_out, b_out
@@ -146,9 +186,10 @@ def _cut_into_pieces(a_path: str, b_path: str, work: int, block_bytes: int):
         def flush(ids, texts):
             nonlocal made, first
             a_lists, b_lists = encoded(texts, a_path, b_path)
-            sizes = np.array([int(a_lengths[x].sum()) if x else 0 for x in a_lists], np.int64)
+            a_arrays, b_arrays = ([np.array(x, np.int64) for x in lists] for lists in (a_lists, b_lists))
+            sizes = np.array([a_lengths[x].sum() for x in a_arrays], np.int64)
             last = np.cumsum(sizes)
-            a_ids, b_ids = (np.fromiter((i for x in lists for i in x), np.int64) for lists in (a_lists, b_lists))
+            a_ids, b_ids = np.concatenate(a_arrays), np.concatenate(b_arrays)
             a, b = np.cumsum(a_lengths[a_ids]), np.cumsum(b_lengths[b_ids])
             i, j = cut_path(a, b, work)
             numbers = (TaskContext.get().partitionId() << 40) + first + np.arange(len(ids))
@@ -207,6 +248,12 @@ class Piece:
         self.common = self.a[linked]
         self.pairs = (self.a_ids[linked] << 32) | self.b_ids[at[linked]]
 
+    def only(self, a: slice, b: slice, common: slice) -> Piece:
+        """The piece with a part of its tokens, those of one document."""
+        part = copy(self)
+        part.a, part.a_ids, part.b, part.b_ids, part.common = self.a[a], self.a_ids[a], self.b[b], self.b_ids[b], self.common[common]
+        return part
+
     def whole(self) -> np.ndarray:
         """Documents that begin and end in this piece, or have no tokens."""
         return (self.first == self.last) | ((self.first >= self.begun) & (self.last <= self.upto))
@@ -299,15 +346,18 @@ def _fragments(piece: Piece, which: np.ndarray, counts: tuple[np.ndarray, ...],
     at = np.searchsorted(pairs, piece.pairs)
     total, first = np.append(0, np.cumsum(totals[at])), np.append(0, np.cumsum(best[at]))
     bounds = [np.searchsorted(x, np.stack([piece.first, piece.last]), "right") for x in (piece.a, piece.b, piece.common)]
-    text = _text_of_groups(piece, *sizes)
+    all_groups = _text_of_groups(piece, *sizes) if len(which) > 2 else None
     rows = []
     for k in which:
         (a0, a1), (b0, b1), (c0, c1) = (b[:, k] for b in bounds)
         row = {"uid": int(piece.numbers[k]), "place": piece.piece, "doc_id": piece.doc_ids[k], "n_a": a1 - a0, "n_b": b1 - b0, "n_groups": c1 - c0, "n_links": c1 - c0}
         row |= {"n_best": first[c1] - first[c0], "count_sum": total[c1] - total[c0]}
         row = {c: v if c == "doc_id" else int(v) for c, v in row.items()}
-        empty = piece.first[k] == piece.last[k]
-        rows.append(row | (dict.fromkeys(OPEN, "") if empty else text(piece.first[k], piece.last[k])))
+        if piece.first[k] == piece.last[k]:
+            rows.append(row | dict.fromkeys(OPEN, ""))
+            continue
+        text = all_groups or _text_of_groups(piece.only(slice(a0, a1), slice(b0, b1), slice(c0, c1)), *sizes)
+        rows.append(row | text(piece.first[k], piece.last[k]))
     return rows
 
 
