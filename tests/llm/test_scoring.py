@@ -301,3 +301,21 @@ def test_insults_of_other_forms_and_languages_are_voted_bad():
     votes = np.array([g.votes[name] for name in weak_quality.TOXICITY])
     assert (votes == 0).any(axis=0).tolist() == [True] * 6 + [False]
     assert not (votes[:, :6] == 1).all(axis=0).any()
+
+
+def test_copies_are_no_independent_draws(spark, here):
+    """Twenty good texts allow no cutoff, and sixty copies of each, under ids of their own, don't either."""
+    texts = [" ".join(f"w{k}x{i}" for i in range(60 + k)) for k in range(20)]
+    rows = [(k * 100 + c, texts[k], "en") for k in range(20) for c in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert risk_rules.cutoffs(risk_rules.measures(docs), labels).collect() == []
+
+
+def test_a_sample_of_any_share_is_drawn(spark, here):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    assert docs.filter(weak_quality.in_sample(40_000, 40_000)).count() == 200_000
+    assert 9_500 < docs.filter(weak_quality.in_sample(50, 1000)).count() < 10_500
+    # of 10**11 rows, 200,000 are a 500,000th; a share of 4 * 10**-7 of all hashes isn't none
+    limit = int(40_000 / 10**11 * 2**63)
+    assert str(limit) in str(weak_quality.in_sample(40_000, 10**11)) and limit > 10**12

@@ -59,7 +59,7 @@ def _repeat_words(words: Column) -> Column:
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum, the base counts of each text and its ``n_lines``, ``n_capitals`` and ``n_marks``."""
+    """doc_id, stratum, the base counts of each text and its ``n_lines``, ``n_capitals``, ``n_marks`` and hash."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(text, SPACE), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
@@ -82,7 +82,8 @@ def measures(docs: DataFrame) -> DataFrame:
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         F.regexp_count(text, F.lit("[A-Z]")).cast("bigint").alias("n_capitals"),
         F.regexp_count(text, F.lit("[!?]")).cast("bigint").alias("n_marks"),
-    ).select("doc_id", "stratum", "w.*", "l.*", "n_symbols", "n_capitals", "n_marks")
+        F.xxhash64(text).alias("text_hash"),
+    ).select("doc_id", "stratum", "w.*", "l.*", "n_symbols", "n_capitals", "n_marks", "text_hash")
 
 
 def rule_values() -> dict[str, Column]:
@@ -136,11 +137,13 @@ def binomial_tail(k: Column, n: Column, rate: float) -> Column:
 def cutoffs(found: DataFrame, labels: DataFrame, limit: float = LIMIT, error: float = ERROR) -> DataFrame:
     """stratum, rule, cutoff, false_rejections, holdout of each rule that has a passing cutoff.
 
-    ``labels`` has doc_id, quality; a document is good if all its labels say 1.
+    ``labels`` has doc_id, quality; a document is good if all its labels say 1. Copies of a text are
+    no independent draws, so a text counts once in a stratum, if any of its documents is good.
     """
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
     values = F.array(*(F.struct(F.lit(name).alias("rule"), value.alias("value"), F.array(*map(F.lit, RULES[name])).alias("grid")) for name, value in rule_values().items()))
-    held = found.join(good, "doc_id").select("stratum", F.explode(values).alias("v")).select("stratum", "v.*")
+    drawn = found.join(good, "doc_id").dropDuplicates(["stratum", "text_hash"])
+    held = drawn.select("stratum", F.explode(values).alias("v")).select("stratum", "v.*")
     above = F.size(F.filter("grid", lambda c: c < F.col("value")))  # cutoffs that reject the document
     bins = held.groupBy("stratum", "rule", "grid", above.alias("above")).agg(F.count("*").alias("n"))
     rated = bins.groupBy("stratum", "rule", "grid").agg(F.sum("n").alias("holdout"), F.collect_list(F.struct("above", "n")).alias("bins"))
@@ -194,14 +197,14 @@ windows AS (
 twins AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows),
 covered AS (SELECT r, count(DISTINCT i + d) AS n_repeat_words FROM twins, unnest([0, 1, 2]) AS u(d) WHERE n > 1 GROUP BY r),
 found AS (
-  SELECT t.r, doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  SELECT t.r, doc_id, stratum, md5(text) AS body, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
     len(regexp_extract_all(text, '[A-Z]')) AS n_capitals, len(regexp_extract_all(text, '[!?]')) AS n_marks
   FROM tokens t LEFT JOIN covered c ON t.r = c.r),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
 valued AS (
-  SELECT r, doc_id, stratum, unnest([
+  SELECT r, doc_id, stratum, body, unnest([
     {{'rule': 'symbols', 'value': CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END}},
     {{'rule': 'capitals', 'value': CASE WHEN word_chars > 0 THEN n_capitals / word_chars ELSE 0 END}},
     {{'rule': 'marks', 'value': CASE WHEN word_chars > 0 THEN n_marks / word_chars ELSE 0 END}},
@@ -210,7 +213,7 @@ valued AS (
     {{'rule': 'long_words', 'value': CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END}}], recursive := true) FROM found),
 grid AS ({grid}),
 tested AS (
-  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (value > cutoff) AS k
+  SELECT stratum, rule, cutoff, count(DISTINCT body) AS n, count(DISTINCT body) FILTER (value > cutoff) AS k
   FROM valued JOIN good USING (doc_id) JOIN grid USING (rule) GROUP BY ALL),
 passing AS (
   SELECT stratum, rule, cutoff FROM tested WHERE k < n * {rate} AND

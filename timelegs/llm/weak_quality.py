@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timelegs.llm.textkeys import SPACES, U64, byte_values, running, utf8, window, words
@@ -275,12 +275,17 @@ def label_model(docs: DataFrame) -> dict[str, np.ndarray]:
     return labels
 
 
+def in_sample(sample: int, rows: int) -> Column:
+    """Whether a row is among about ``sample`` of ``rows`` rows: 63 bits of its hash tell shares of any size."""
+    share = min(1.0, sample / max(rows, 1))
+    return F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**63 - 1)) <= min(2**63 - 1, int(share * 2**63))
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Scorer:
     """Labels from all documents; a scorer from at most about ``sample`` of them, chosen by hash."""
     labels = label_model(docs)
     rows = docs.count()
-    share = min(1.0, sample / max(rows, 1))
-    chosen = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = docs.select("doc_id", "text").filter(in_sample(sample, rows))
     # Dealt anew, so that no task learns from texts of one kind alone.
     parts = min(PARTS, 1 + rows // 1000)
     chosen = chosen.repartition(parts, F.xxhash64("text", "doc_id"))
