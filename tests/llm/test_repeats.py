@@ -164,3 +164,25 @@ def test_items_without_a_name_are_tested(spark, here):
         got = decontaminate.find_matches(docs, items, slice_bytes=size).select("row.doc_id", "n_hit", "n_items").collect()
         assert sorted(tuple(r) for r in got) == [(1, 2, 0), (2, 0, 0)]
     assert [r["doc_id"] for r in decontaminate.remove_contaminated(docs, items).collect()] == [2]
+
+
+def test_overlaps_are_accumulated_over_blocks_of_columns(monkeypatch):
+    rng = random.Random(8)
+    sides = [[np.array(sorted(rng.sample(range(200), rng.randrange(1, 80))), np.uint64) for _ in range(n)] for n in (7, 12)]
+    want = [[len(set(x.tolist()) & set(y.tolist())) for y in sides[1]] for x in sides[0]]
+    for step in (1, 13, 8192):
+        monkeypatch.setattr(jaccard_join, "COLUMNS_A_STEP", step)
+        assert jaccard_join.overlaps(*sides).tolist() == want
+
+
+def test_tiles_link_what_leaders_miss(spark, here):
+    """Templated texts around shared words: many groups in a column, links across sizes, none below 0.8."""
+    rng = random.Random(6)
+    words = [f"v{k}" for k in range(400)]
+    frame = words[:12]
+    docs = []
+    for group in range(90):
+        own = [rng.choice(words) + str(group) for _ in range(rng.choice([40, 60, 90]))]
+        docs += [(len(docs) + c, " ".join(frame + own[: len(own) - c] + [f"e{group}"] * c)) for c in range(3)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    same([tuple(r) for r in jaccard_join.near_duplicates(df).collect()], brute.near_duplicates(docs))

@@ -7,6 +7,8 @@ about a key can go back to the block instead of the key's positions travelling w
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -26,6 +28,15 @@ TOTALS = "block bigint, bucket int, body binary, present bigint, mass bigint, la
 SHIFT = 24  # a block has less documents than 2**SHIFT, since each takes a byte at least
 
 
+def give_back() -> None:
+    """Return memory that a task no longer uses: a worker lives on and takes other stages' tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 @dataclass
 class Block:
     """Documents of a block: ``data[starts[i]:ends[i]]`` is the text of row ``i``, then one line feed."""
@@ -65,6 +76,7 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield flush()
     if ids:
         yield flush()
+    give_back()
 
 
 def make_blocks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -80,6 +92,7 @@ def open_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["body"].as_py()), np.uint8)
             ends = np.cumsum(np.maximum(sizes, 0) + 1) - 1
             yield Block(row["block"].as_py(), row["doc_id"].as_py(), sizes, data, ends - np.maximum(sizes, 0), ends, row)
+    give_back()
 
 
 def bucket_count(blocks: DataFrame, bytes_per_byte: float) -> int:
@@ -96,6 +109,7 @@ def key_totals(
     weight: str = "u1",
     top: int = 0,
     bits: int = 0,
+    key_bytes: int = 8,
 ) -> DataFrame:
     """For each block, what ``answer`` makes of the totals of its keys over all blocks.
 
@@ -105,8 +119,24 @@ def key_totals(
     answers in the order of the block's keys. Returned: block, bucket, body, and on one row of
     each bucket the number of its keys with a total above zero, the sum of all its totals, its
     ``top`` keys of largest total and, if ``bits`` are given, sum and number by the keys' first bits.
+
+    With fewer ``key_bytes`` than 8 a key goes out as its place in its bucket's range, rounded to so
+    many bytes. Two keys may then count as one: totals can be too large, never too small.
     """
     edges = np.array([-(-(j << 64) // buckets) for j in range(1, buckets)], U64)
+    shift = U64(max(0, (-(-(1 << 64) // buckets)).bit_length() - 8 * key_bytes))
+
+    def sent(keys: np.ndarray, bucket: int) -> bytes:
+        if key_bytes == 8:
+            return keys.tobytes()
+        places = (keys - (edges[bucket - 1] if bucket else U64(0))) >> shift
+        return places.view(np.uint8).reshape(-1, 8)[:, :key_bytes].tobytes()
+
+    def received(cell: pa.Scalar) -> np.ndarray:
+        if key_bytes == 8:
+            return np.frombuffer(cell.as_buffer(), U64)
+        places = np.frombuffer(cell.as_buffer(), np.uint8).reshape(-1, key_bytes)
+        return np.pad(places, ((0, 0), (0, 8 - key_bytes))).view(U64)[:, 0]
 
     def spread(batches):
         most = np.iinfo(weight).max
@@ -119,13 +149,13 @@ def key_totals(
                 {
                     "block": np.full(len(used), b.block, np.int64),
                     "bucket": used.astype(np.int32),
-                    "keys": pa.array([keys[cuts[j] : cuts[j + 1]].tobytes() for j in used], pa.binary()),
+                    "keys": pa.array([sent(keys[cuts[j] : cuts[j + 1]], j) for j in used], pa.binary()),
                     "counts": pa.array([counts[cuts[j] : cuts[j + 1]].tobytes() for j in used], pa.binary()),
                 }
             )
 
     def total(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x.as_buffer(), U64) for x in table.column("keys")]
+        parts = [received(x) for x in table.column("keys")]
         keys = np.concatenate(parts)
         counts = np.concatenate([np.frombuffer(x.as_buffer(), weight) for x in table.column("counts")])
         order = np.argsort(keys)

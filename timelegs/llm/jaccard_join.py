@@ -21,6 +21,7 @@ pairs.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ from timelegs.llm.store import Workspace
 from timelegs.llm.textkeys import SPACES, U64, grams, mix, words
 
 TILE = 64
+SENT_BYTES = 5  # of a shingle's place in its bucket
+COLUMNS_A_STEP = 8192
 
 
 def document_sets(b: Block, width: int) -> list[np.ndarray]:
@@ -71,9 +74,9 @@ def shared_sets(docs: DataFrame, space: Workspace, width: int, percent: int) ->
     def frequency_class(totals: np.ndarray) -> np.ndarray:
         return np.ceil(np.log2(np.maximum(totals, 1))).astype(np.uint8)  # 0: in one document
 
-    answers = space.write(
-        gather_answers(key_totals(blocks, emit, frequency_class, bucket_count(blocks, 1.4)), "classes"), "classes"
-    )
+    # a false meeting of two shingles makes their class larger: one that is alone is only taken for shared
+    totals = key_totals(blocks, emit, frequency_class, bucket_count(blocks, 1.0), key_bytes=SENT_BYTES)
+    answers = space.write(gather_answers(totals, "classes"), "classes")
 
     def rows(batches: Iterator[pa.RecordBatch]):
         for b in open_blocks(batches):
@@ -176,12 +179,69 @@ def leader_links(columns: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right``: a sparse matrix product.
+
+    The shingles that both sides hold are the columns, taken some thousands at a time; each step
+    adds the product of two blocks of the incidence matrix to the counts.
+    """
+    counts = np.zeros((len(left), len(right)), np.float32)
+    held = [np.concatenate(side) for side in (left, right)]
+    row_of = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in (left, right)]
+    columns = np.intersect1d(*held)
+    for at in range(0, len(columns), COLUMNS_A_STEP):
+        step = columns[at : at + COLUMNS_A_STEP]
+        blocks = []
+        for values, rows, size in zip(held, row_of, counts.shape, strict=True):
+            place = np.minimum(np.searchsorted(step, values), len(step) - 1)
+            here = step[place] == values
+            block = np.zeros((size, len(step)), np.float32)
+            block[rows[here], place[here]] = 1
+            blocks.append(block)
+        counts += blocks[0] @ blocks[1].T
+    return counts.astype(np.int64)
+
+
+def multiply_tiles(percent: int):
+    """The links between the two tiles of a task; of a component that they make, only enough to join it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, component, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
+        other = np.array(table.column("other").to_pylist())
+        found = [np.frombuffer(x.as_buffer(), U64) for x in table.column("shingles")]
+        x, y = np.flatnonzero(other), np.flatnonzero(~other)
+        a, b, of = [], [], {}
+
+        def root(c):
+            while of.get(c, c) != c:
+                c = of[c]
+            return c
+
+        if len(x) and len(y):
+            smaller, larger = np.minimum(n[x][:, None], n[y]), np.maximum(n[x][:, None], n[y])
+            possible = (100 * smaller >= percent * larger) & (component[x][:, None] != component[y])
+            x, y = x[possible.any(1)], y[possible.any(0)]
+        if len(x) and len(y):
+            both = overlaps([found[k] for k in x], [found[k] for k in y])
+            linked = 100 * both >= percent * (n[x][:, None] + n[y] - both)
+            for i, j in zip(*np.nonzero(linked & (component[x][:, None] != component[y])), strict=True):
+                rx, ry = root(int(component[x[i]])), root(int(component[y[j]]))
+                if rx != ry:
+                    of[rx] = ry
+                    a.append(int(node[x[i]]))
+                    b.append(int(node[y[j]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def tile_links(columns: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components within columns, tile by tile.
 
     Columns with the same documents are taken once. In a column, the documents outside its most
     frequent component are multiplied with all of its documents: tiles of the former with tiles of
-    all, two tiles a task.
+    all, two tiles a task. Tiles are cut within classes of sizes, and only tiles of the same or of
+    neighbouring classes meet, since sizes further apart can't reach the threshold.
     """
     labelled = columns.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = labelled.groupBy("h", "component").agg(
@@ -195,44 +255,28 @@ def tile_links(columns: DataFrame, labels: DataFrame, sets: DataFrame, percent:
         .filter("d > 1")
         .groupBy("k", "s", "x")
         .agg(F.min(F.struct("h", "most")).alias("one"))
-        .select(
-            F.col("one.h").alias("h"),
-            F.col("one.most.component").alias("most"),
-            F.ceil(F.col("k") / TILE).cast("int").alias("tiles"),
-            F.ceil((F.col("k") - F.col("one.most.c")) / TILE).cast("int").alias("others"),
-        )
-    )
-    placed = labelled.join(opened, "h").withColumn("at", F.xxhash64("node"))
-    every = placed.select(
-        "h", "node", "component", F.lit(False).alias("other"), F.pmod("at", "tiles").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("j")
+        .select(F.col("one.h").alias("h"), F.col("one.most.component").alias("most"))
     )
-    other = placed.filter("component <> most").select(
-        "h", "node", "component", F.lit(True).alias("other"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"), F.pmod("at", "others").cast("int").alias("j")
-    )
-    tiles = every.unionByName(other).join(sets.select("node", "shingles"), "node")
-
-    def multiply(table: pa.Table) -> pa.Table:
-        node, component = (table.column(c).to_numpy().tolist() for c in ("node", "component"))
-        other = np.array(table.column("other").to_pylist())
-        found = [np.frombuffer(x.as_buffer(), U64) for x in table.column("shingles")]
-        of = {c: c for c in component}
-
-        def root(c):
-            while of[c] != c:
-                c = of[c]
-            return c
-
-        a, b = [], []
-        for x in np.flatnonzero(other):
-            for y in np.flatnonzero(~other):
-                rx, ry = root(component[x]), root(component[y])
-                if rx != ry and _similar(found[x], found[y], percent):
-                    of[rx] = ry
-                    a.append(node[x])
-                    b.append(node[y])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return tiles.groupBy("h", "i", "j").applyInArrow(multiply, "a bigint, b bigint")
+    # a hair wider than the threshold asks for, so that rounding never parts two sizes that fit
+    step = math.log(100 / percent) * 1.000001
+    size_class = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
+    placed = labelled.join(opened, "h").select("h", "node", "component", "most", F.xxhash64("node").alias("at"), size_class.alias("own"))
+    counted = placed.groupBy("h", "own").agg(F.count("*").alias("k"), F.count_if(F.col("component") != F.col("most")).alias("o"))
+    tiles = F.ceil(F.col("k") / TILE).cast("int").alias("tiles")
+    others = F.ceil(F.col("o") / TILE).cast("int").alias("others")
+    near = F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1))
+    asking = counted.filter("o > 0").select("h", F.col("own").alias("s"), others, near.alias("c"))
+    meeting = asking.join(counted.select("h", F.col("own").alias("c"), tiles), ["h", "c"])
+    every = placed.join(meeting.withColumnRenamed("c", "own"), ["h", "own"]).select(
+        "h", "s", F.col("own").alias("c"), "node", "component", F.lit(False).alias("other"),
+        F.pmod("at", "tiles").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("j"),
+    )
+    other = placed.filter("component <> most").join(meeting.withColumnRenamed("s", "own"), ["h", "own"]).select(
+        "h", F.col("own").alias("s"), "c", "node", "component", F.lit(True).alias("other"),
+        F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"), F.pmod("at", "others").cast("int").alias("j"),
+    )
+    together = every.unionByName(other).join(sets.select("node", "n", "shingles"), "node")
+    return together.groupBy("h", "s", "c", "i", "j").applyInArrow(multiply_tiles(percent), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from timelegs.llm.blocks import give_back
 from timelegs.llm.store import row_and, row_and_text, text_of
 
 BINS = 1 << 15
@@ -100,6 +101,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(
             {"lang": [name] * len(parts), "part": np.arange(-1, PARTS, dtype=np.int32), "counts": [x.astype(np.int64).tobytes() for x in parts]}
         )
+    give_back()
 
 
 def _add(table: pa.Table) -> pa.Table:
@@ -150,6 +152,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", keep: list
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(pred, pa.string()), pa.array(best, pa.float64())], ["row", "lang_pred", "score"]
             )
+        give_back()
 
     rows = docs.select(*row_and_text(docs, text_column, keep))
     return rows.mapInArrow(score, row_and(rows, "lang_pred string, score double"))
