@@ -176,3 +176,11 @@ def test_training_leaves_the_checkpoint_folder_of_the_session(spark, tmp_path):
     assert kept.count() == 3
     assert "mine" in spark.sparkContext.getCheckpointDir()
     kept.unpersist()
+
+
+def test_a_leaking_split_stops_the_run(spark):
+    rows = spark.createDataFrame([("a",), ("b",)], "segment_key string")
+    with pytest.raises(modelling.LeakageError, match="1 segments"):
+        modelling.require_split(modelling.split_summary(rows, rows.filter("segment_key = 'a'")))
+    kept = modelling.require_split(modelling.split_summary(rows, rows.filter("segment_key = 'c'")))
+    assert kept.first()["training_records"] == 2

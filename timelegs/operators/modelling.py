@@ -150,6 +150,14 @@ def require_few_categories(
             raise CategoryError(f"{column} has {found} categories, more than {limit}")
 
 
+def require_split(summary: DataFrame) -> DataFrame:
+    """A computed ``split_summary``, or an error if a segment is on both sides; one job."""
+    row = summary.first()
+    if row["overlapping_segments"]:
+        raise LeakageError(f"{row['overlapping_segments']} segments are in the training and in the test rows")
+    return summary.sparkSession.createDataFrame([row], summary.schema)
+
+
 # --- features -----------------------------------------------------------------------
 
 
@@ -224,7 +232,10 @@ def keep_for_reuse(df: DataFrame, folder: str) -> DataFrame:
 
 
 def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
-    """Split, check the split, fit the encoder on the training side, encode both sides.
+    """Split, fit the encoder on the training side, encode both sides.
+
+    The split is a function of the segment, so no segment can be on both sides; ``split_summary``
+    counts them all the same, and ``require_split`` stops a run where it finds any.
 
     What is kept goes to ``folder``, by default a new one in the session's shared folder.
     """
@@ -236,7 +247,6 @@ def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
     known = modelling_rows(enriched).select(*columns).fillna(GAP_VALUE, NUMERIC_FEATURES)
     rows = keep_for_reuse(fixed_layout(known), folder)
     train, test = split_rows(rows)
-    require_no_leakage(train, test)
     require_few_categories(train)
     encoder = feature_stages().fit(train)
     kept = [*PREDICTION_IDENTIFIERS, "label", "features"]

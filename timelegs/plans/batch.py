@@ -122,6 +122,7 @@ def train(spark: SparkSession, enriched: DataFrame, out: Layout) -> modelling.Co
     its features by importance, and the summaries."""
     data = modelling.prepare(enriched)
     try:
+        split = modelling.require_split(modelling.split_summary(data.train, data.test))
         comparison = modelling.compare_models(data)
         sinks.write_parquet(comparison.results, out.at("model_results"))
         threshold = modelling.training_threshold(comparison.best_model, data)
@@ -133,7 +134,6 @@ def train(spark: SparkSession, enriched: DataFrame, out: Layout) -> modelling.Co
         sinks.write_csv(importance, out.at("reports/feature_importance"))
         summary = modelling.best_model_summary(comparison, data)
         sinks.write_metrics(summary, out.at("reports/best_model_summary"))
-        split = modelling.split_summary(data.train, data.test)
         sinks.write_metrics(split, out.at("reports/model_split_summary"))
         predictions = tables.read_parquet(spark, out.at("test_predictions"))
         anomalies = beside(modelling.anomaly_summary(predictions), threshold)

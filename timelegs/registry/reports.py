@@ -359,3 +359,40 @@ def line_distinct_counts(net):
         bitmaps = rollups.key_bitmaps(net.enriched_table, ["line_ref", "departure_hour"], key)
         counts.append(rollups.distinct_keys(bitmaps, ["line_ref"], name))
     return counts[0].join(counts[1], "line_ref")
+
+
+@query(
+    "kept_quantile_sketches",
+    """
+    SELECT p_brand AS line_ref, count(*) AS row_count, true AS median_in_bound, true AS p95_in_bound
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand
+    UNION ALL
+    SELECT NULL, count(*), true, true FROM lineitem JOIN part ON l_partkey = p_partkey
+    """,
+)
+def kept_quantile_sketches(net):
+    """Quantiles per line and in all, from one table of sketches by line and supplier, against their ranks.
+
+    The values are distinct: order and line number as one number.
+    """
+    value = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("double") + F.col("l_suppkey") / 1e6
+    rows = net.lines.select(F.col("p_brand").alias("line_ref"), (F.col("l_suppkey") % 16).alias("part"), value.alias("value"))
+    path = new_folder(net.spark, "sketches")
+    rollups.quantile_sketches(rows, ["line_ref", "part"], "value").write.parquet(path)
+    sketches = net.spark.read.parquet(path)
+    points = {"median": 0.5, "p95": 0.95}
+    parts = []
+    for by in (["line_ref"], []):
+        found = rollups.quantiles_of(sketches, by, points)
+        # a row for each of a few lines: the quantiles go to the rows, not the rows to them
+        if by:
+            joined = rows.join(F.broadcast(found), by)
+        else:
+            joined = rows.withColumns({c: found.select(c).scalar() for c in ("rows", *points)})
+        ranks = joined.groupBy(*by, "rows").agg(*[F.count_if(F.col("value") <= F.col(name)).alias(name) for name in points])
+        fits = [
+            (F.abs(F.col(name) - p * F.col("rows")) <= 1 + rollups.RANK_ERROR * F.col("rows")).alias(f"{name}_in_bound")
+            for name, p in points.items()
+        ]
+        parts.append(ranks.select(*by, F.col("rows").alias("row_count"), *fits))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
