@@ -150,7 +150,7 @@ def test_training_and_serving(spark, run, monkeypatch):
     shown = {r["table_name"]: int(r["row_count"]) for r in spark.read.option("header", True).csv(run["out"].at("reports/database_summary")).collect()}
     assert shown == counts
     injected = spark.read.option("header", True).csv(run["out"].at("reports/injection_check")).first()
-    assert injected[0] == "0"
+    assert injected["sql_injection_prevented"] == "true"
     statements = spark.read.text(run["out"].at("reports/sample_data")).count()
     assert statements == sum(min(5, n) for n in counts.values())
     far = run["stops"].withColumn("latitude", F.lit(91.0))
