@@ -28,9 +28,10 @@ TOTALS = "block bigint, bucket int, body binary, present bigint, mass bigint, la
 SHIFT = 24  # a block has less documents than 2**SHIFT, since each takes a byte at least
 
 
-def give_back() -> None:
+def give_back(collect: bool = True) -> None:
     """Return memory that a task no longer uses: a worker lives on and takes other stages' tasks."""
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     if trim is not None:

@@ -42,13 +42,13 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def remainder(n: int):
-    """The fold of a document: crc32 of its doc_id as text."""
+    """The fold of a document: crc32 of its doc_id as text; null without a doc_id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (remainder(5) == 0).alias("held_out"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"))
     model = language_id.train(docs.filter("NOT held_out"))
     return language_id.predict(docs, model, keep=["doc_id", "held_out"]).select("row.*", "lang_pred", "score")
 

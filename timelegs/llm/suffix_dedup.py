@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timelegs.llm.blocks import give_back
 from timelegs.llm.store import row_and, row_and_text, text_of
 from timelegs.llm.textkeys import U64, mix, running, utf8, window
 
@@ -32,6 +33,7 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 GRAM = 16
 PIECE = 1 << 21
 BUCKET_BYTES = 3 << 20
+ROWS_A_CUT = 256  # texts that are cut and handed on together
 SPREAD = 3.3  # text bytes in buckets for each byte of input, about
 
 SEGMENTS = "bucket int, texts binary, lengths binary, occurrences binary, doc_id array<bigint>, sig array<bigint>"
@@ -247,8 +249,14 @@ def repeated_stretches(docs: DataFrame, length: int) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     buckets = max(64, int(total * SPREAD / BUCKET_BYTES) + 1)
     segments = docs.mapInArrow(lambda batches: spread(batches, length, buckets), SEGMENTS)
+
+    def sort_and_give_back(table: pa.Table) -> pa.Table:
+        found = sort_bucket(table, length)
+        give_back(collect=False)
+        return found
+
     runs = segments.groupBy("bucket").applyInArrow(
-        lambda table: sort_bucket(table, length), "doc_id bigint, sig bigint, begin bigint, upto bigint"
+        sort_and_give_back, "doc_id bigint, sig bigint, begin bigint, upto bigint"
     )
     return runs.groupBy("doc_id", "sig").agg(F.collect_set(F.struct("begin", "upto")).alias("starts"))
 
@@ -290,7 +298,7 @@ def remove_repeats(
     starts = starts.select(F.col("doc_id").alias("id"), F.col("sig").alias("s"), "starts")
 
     def cut(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS_A_CUT) for whole in batches for at in range(0, whole.num_rows, ROWS_A_CUT)):
             size, kept, texts, spans = [], [], [], []
             for text, found in zip(text_of(batch, text_column), batch.column("starts"), strict=True):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
@@ -304,6 +312,7 @@ def remove_repeats(
                 [batch.column("row"), pa.array(size, pa.int64()), pa.array(kept, pa.binary()), pa.array(texts, pa.string()), pa.array(spans, kind)],
                 ["row", "n_bytes", "kept", "kept_text", "spans"],
             )
+        give_back()
 
     joined = docs.join(starts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("sig") == F.col("s")), "left")
     kinds = row_and(docs, "n_bytes bigint, kept binary, kept_text string, spans array<struct<begin:bigint,upto:bigint>>")
