@@ -260,3 +260,34 @@ def test_descendants_and_children(spark):
         xml_elements.child_text("f", "A"), xml_elements.descendant_text("f", "A"), xml_elements.descendant_text("f", "B"), xml_elements.first_text("f", ["B", "C"])
     ).collect()
     assert [tuple(r) for r in got] == [("", "deep", "", "x"), ("", "", "", "")]
+
+
+def test_elements_are_handed_on_while_a_document_is_read():
+    read = []
+
+    def pieces():
+        yield b"<Root>"
+        for i in range(1000):
+            read.append(i)
+            yield b"<StopPoint><AtcoCode>S</AtcoCode></StopPoint>"
+        yield b"</Cut>"
+
+    found = xml_elements.take_apart(pieces())
+    next(found)
+    assert len(read) < 10
+    assert sum(1 for _ in found) == 999 and xml_elements.is_broken(pieces())
+
+
+def test_documents_in_pieces_agree_with_whole_ones(spark):
+    bodies = {"a": document(link("N1", "F", "T"), NESTED, STOPS), "b": document(STOPS)[:-10], "c": " ", "d": ""}
+    whole = spark.createDataFrame([(n, f"/{n}", bytearray(t, "utf-8")) for n, t in bodies.items()], "source_file string, path string, content binary")
+    cut = [(n, f"/{n}", bytearray(t[at : at + 7], "utf-8")) for n, t in bodies.items() for at in range(0, max(len(t), 1), 7)]
+    pieces = spark.createDataFrame(cut, whole.schema).coalesce(1)
+
+    def rows(elements):
+        return sorted(map(str, elements.collect()))
+
+    assert rows(xml_elements.elements_of_pieces(pieces)) == rows(xml_elements.elements_of(whole))
+    assert tuple(xml_elements.document_counters(xml_elements.elements_of_pieces(pieces, [])).first()) == (4, 3)
+    links = xml_elements.elements_of_pieces(pieces, ["JourneyPatternTimingLink"]).filter("place >= 0")
+    assert {r["tag"] for r in links.collect()} == {"JourneyPatternTimingLink"}

@@ -244,7 +244,7 @@ def runtime_examples(net):
 )
 def nested_journeys(net):
     """Links at two depths, out of documents of which some are broken."""
-    legs = shredding.journey_legs(xml_elements.elements_of(net.timetable_documents))
+    legs = shredding.journey_legs(xml_elements.elements_of_pieces(net.timetable_documents, ["VehicleJourney"]))
     number = F.regexp_extract("vehicle_timing_link_id", r"VL(\d+)", 1).cast("bigint") - 1
     return legs.select(
         "source_file",
@@ -276,7 +276,7 @@ def nested_journeys(net):
 )
 def document_links(net):
     """All eleven fields of the last definition of each pattern link, parsed from documents."""
-    links = shredding.pattern_links(xml_elements.elements_of(net.timetable_documents))
+    links = shredding.pattern_links(xml_elements.elements_of_pieces(net.timetable_documents, ["JourneyPatternTimingLink"]))
     return shredding.link_lookup(links)
 
 
@@ -290,7 +290,7 @@ def document_links(net):
     ["lines"],
 )
 def document_counters(net):
-    return xml_elements.document_counters(xml_elements.elements_of(net.timetable_documents))
+    return xml_elements.document_counters(xml_elements.elements_of_pieces(net.timetable_documents, []))
 
 
 @query(
@@ -310,5 +310,5 @@ def document_counters(net):
 )
 def document_stops(net):
     """Stops with values at any depth and in any order; every third document breaks off after them."""
-    records = shredding.stop_records(xml_elements.elements_of(net.stop_documents))
+    records = shredding.stop_records(xml_elements.elements_of_pieces(net.stop_documents, ["StopPoint", "AnnotatedStopPointRef"]))
     return records.drop("source_file", "position")
