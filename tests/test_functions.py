@@ -235,3 +235,17 @@ def test_exact_quantiles_take_four_scans(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "t"))
     plan = measures.exact_quantiles(df, "x", {"a": 0.5, "b": 0.9, "c": 0.99})._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 4
+
+
+def test_distances_have_the_bits_of_the_written_formula(spark):
+    """Equal distances of the network's grid differ in their last bit; an order by distance shows it."""
+    import duckdb
+
+    steps = [(50.0 + a * 0.0001, b * 0.0001, 50.0 + c * 0.0001, d * 0.0001) for a in range(0, 97, 19) for b in range(0, 89, 23) for c in range(0, 97, 13) for d in range(0, 89, 17)]
+    df = spark.createDataFrame(steps, "a double, b double, c double, d double")
+    got = df.select("a", "b", "c", "d", geo.haversine_km("a", "b", "c", "d").alias("km")).toPandas()
+    wanted = duckdb.sql(
+        """SELECT 2 * 6371.0088 * asin(sqrt(sin(radians(c - a) / 2) * sin(radians(c - a) / 2)
+             + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) * sin(radians(d - b) / 2))) AS km, km AS got FROM got"""
+    ).fetchall()
+    assert sum(1 for km, mine in wanted if km != mine) == 0

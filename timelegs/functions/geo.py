@@ -44,12 +44,11 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     ``least``/``greatest`` skip NULLs, so the guard is what keeps a gap a gap.
     """
     points = [col(c) for c in (lat1, lon1, lat2, lon2)]
-    phi1, lambda1, phi2, lambda2 = [F.radians(c) for c in points]
-
-    def half_chord(angle: Column) -> Column:
-        return F.pow(F.sin(angle / 2.0), F.lit(2.0))
-
-    share = half_chord(phi2 - phi1) + F.cos(phi1) * F.cos(phi2) * half_chord(lambda2 - lambda1)
+    phi1, lambda1, phi2, lambda2 = points
+    # Differences are taken in degrees and products from the left: distances that are equal but for
+    # their last bit have an order, and it is that of the formula as it is usually written down.
+    north, east = [F.sin(F.radians(angle) / 2.0) for angle in (phi2 - phi1, lambda2 - lambda1)]
+    share = north * north + F.cos(F.radians(phi1)) * F.cos(F.radians(phi2)) * east * east
     clamped = F.least(F.lit(1.0), F.greatest(F.lit(0.0), share))
     known = points[0].isNotNull()
     for c in points[1:]:
