@@ -178,6 +178,19 @@ def test_training_leaves_the_checkpoint_folder_of_the_session(spark, tmp_path):
     kept.unpersist()
 
 
+def test_kept_rows_are_made_once_and_not_held(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        made.add(1)
+        return x
+
+    kept = modelling.keep_for_reuse(spark.range(10).select(seen("id").alias("x")), str(tmp_path))
+    assert sorted(r["x"] for r in kept.collect()) == list(range(10)) and made.value == 10
+    assert not kept.is_cached
+
+
 def test_a_leaking_split_stops_the_run(spark):
     rows = spark.createDataFrame([("a",), ("b",)], "segment_key string")
     with pytest.raises(modelling.LeakageError, match="1 segments"):
