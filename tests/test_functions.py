@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from timelegs.functions import clock, durations, geo, measures, text
+from timelegs.registry import QUERIES
 
 
 def values(spark, rows, ddl, *columns):
@@ -249,3 +250,18 @@ def test_distances_have_the_bits_of_the_written_formula(spark):
              + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) * sin(radians(d - b) / 2))) AS km, km AS got FROM got"""
     ).fetchall()
     assert sum(1 for km, mine in wanted if km != mine) == 0
+
+
+def test_sums_of_squares_beyond_a_bigint_are_exact(spark, tmp_path):
+    def counts(name, keys):
+        rows = spark.createDataFrame([(k,) for k in keys], "l_orderkey bigint")
+        rows.write.parquet(str(tmp_path / name / "lineitem.parquet"))
+        return QUERIES["modulo_counts"](spark, str(tmp_path / name))
+
+    far = 3_000_000_001  # its square fits into 63 bits, two of them don't
+    large = counts("large", [far, far, 4, None])
+    assert {r["group_number"]: (r["row_count"], r["even_rows"], r["sum_of_squares"]) for r in large.collect()} == {1: (2, 0, 2 * far * far), 4: (1, 1, 16), None: (1, 0, None)}
+    small = counts("small", [far, 4, 14])
+    assert dict(small.dtypes)["sum_of_squares"] == "bigint"
+    assert [tuple(r) for r in small.collect()] == [(1, 1, 0, far * far), (4, 2, 2, 16 + 196)]
+    assert counts("none", []).collect() == []
