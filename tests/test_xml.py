@@ -291,3 +291,29 @@ def test_documents_in_pieces_agree_with_whole_ones(spark):
     assert tuple(xml_elements.document_counters(xml_elements.elements_of_pieces(pieces, [])).first()) == (4, 3)
     links = xml_elements.elements_of_pieces(pieces, ["JourneyPatternTimingLink"]).filter("place >= 0")
     assert {r["tag"] for r in links.collect()} == {"JourneyPatternTimingLink"}
+
+
+def test_a_document_is_read_once_and_a_break_marks_all_its_rows():
+    def pieces(tail):
+        yield b'<?xml version="1.0"?><Root xmlns:p="urn:p">'
+        for i in range(5000):  # more than a batch
+            yield b'<StopPoint p:id="%d"><AtcoCode>S<!-- no child -->%d</AtcoCode><StopPoint/></StopPoint><X/>' % (i, i)
+        yield tail
+
+    documents = [("whole", "/w", pieces(b"</Root>")), ("cut", "/c", pieces(b"</Cut>")), ("small", "/s", iter([b"<StopPoint/>"]))]
+    rows = [row for batch in xml_elements._batches(documents, ["StopPoint"]) for row in batch.to_pylist()]
+    assert len(rows) == 2 * (2 * 5000 + 1) + 2
+    assert {r["source_file"] for r in rows if r["broken"]} == {"cut"} and not any(r["broken"] for r in rows if r["source_file"] != "cut")
+    outer = {r["place"]: r for r in rows if r["source_file"] == "cut" and r["attributes"]}
+    assert sorted(outer) == [1 + 4 * i for i in range(5000)]
+    assert outer[1 + 4 * 7]["attributes"] == [("urn:p}id", "7")]
+    assert [tuple(f.values()) for f in outer[1 + 4 * 7]["fields"]] == [("AtcoCode", 1, "S7"), ("StopPoint", 1, None)]
+
+
+def test_an_entity_of_an_external_definition_is_no_break():
+    for begin, broken in (("<!DOCTYPE r SYSTEM 'x.dtd'>", False), ("", True)):
+        text = f"{begin}<r><StopPoint><AtcoCode>a&other;b</AtcoCode></StopPoint></r>".encode()
+        breaks: list = []
+        found = list(xml_elements.take_apart([text], ["StopPoint"], breaks))
+        assert bool(breaks) == broken == xml_elements.is_broken([text])
+        assert [[tuple(f) for f in e.fields] for e in found] == ([] if broken else [[("AtcoCode", 1, "ab")]])
