@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from timelegs.operators import shredding, stops
@@ -317,3 +319,18 @@ def test_an_entity_of_an_external_definition_is_no_break():
         found = list(xml_elements.take_apart([text], ["StopPoint"], breaks))
         assert bool(breaks) == broken == xml_elements.is_broken([text])
         assert [[tuple(f) for f in e.fields] for e in found] == ([] if broken else [[("AtcoCode", 1, "ab")]])
+
+
+def test_written_journeys_are_compressed_and_read_whole(spark, network, monkeypatch):
+    from timelegs.registry import xml
+
+    monkeypatch.setattr(xml, "JOURNEYS_A_FILE", 700)
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("timelegs-xml-*"))
+    read = xml.xml_files(network)
+    [written] = set(folder.glob("timelegs-xml-*")) - before
+    files = list(written.glob("part-*"))
+    assert len(files) > 4 and all(f.name.endswith(".xml.gz") for f in files)
+    lines = network.table("lineitem").count()
+    assert read.count() == 2 * lines
+    assert sum(f.stat().st_size for f in files) < 100 * lines  # a journey is more than 400 bytes

@@ -9,6 +9,9 @@ from timelegs.registry.book import query
 from timelegs.sources import journeys_xml, xml_elements
 from timelegs.sources.stage import new_folder
 
+# A journey takes about half a kilobyte of XML.
+JOURNEYS_A_FILE = 500_000
+
 
 def parsed_legs(net):
     parsed = journeys_xml.parse_documents(
@@ -64,14 +67,18 @@ def xml_round_trip(net):
     ["lines"],
 )
 def xml_files(net):
-    """All journeys written as XML files and taken out of them by the shipped reader."""
+    """All journeys written as XML files and taken out of them by the shipped reader.
+
+    The files are compressed, and short enough for one task each.
+    """
     parsed = journeys_xml.parse_documents(
         net.journey_documents, "xml", journeys_xml.LAYOUTS["VehicleJourney"]
     )
     path = new_folder(net.spark, "xml")
     writer = parsed.select("document.*").write.format("xml")
+    writer = writer.option("compression", "gzip").option("maxRecordsPerFile", JOURNEYS_A_FILE)
     writer.option("rowTag", "VehicleJourney").option("rootTag", journeys_xml.ROOT).save(path)
-    journeys = journeys_xml.read_documents(net.spark, path, "VehicleJourney")
+    journeys = journeys_xml.read_documents(net.spark, path, "VehicleJourney", names="*.xml.gz")
     return shredding.explode_journeys(journeys).select(
         "vehicle_journey_code",
         "line_ref",

@@ -15,6 +15,7 @@ from timelegs.operators.joins import lookup_join
 from timelegs.operators.records import beside
 
 CORRUPT = "_corrupt_record"
+DOCUMENTS = "*.xml"
 ROOT = "TransXChange"
 
 _END = "struct<_SequenceNumber:string,Activity:string,StopPointRef:string,TimingStatus:string>"
@@ -79,7 +80,7 @@ def document_counters(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _read(spark: SparkSession, path: str, element: str, schema: StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str, element: str, schema: StructType, names: str = DOCUMENTS) -> DataFrame:
     return (
         spark.read.format("xml")
         .option("rowTag", element)
@@ -87,15 +88,15 @@ def _read(spark: SparkSession, path: str, element: str, schema: StructType) -> D
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreNamespace", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.xml")
+        .option("pathGlobFilter", names)
         .schema(schema.add(CORRUPT, "string"))
         .load(path)
     )
 
 
-def read_element(spark: SparkSession, path: str, element: str) -> DataFrame:
+def read_element(spark: SparkSession, path: str, element: str, names: str = DOCUMENTS) -> DataFrame:
     """Every ``element`` below ``path`` with source_file, position and the corrupt-row text."""
-    return _read(spark, path, element, layout(element)).select(
+    return _read(spark, path, element, layout(element), names).select(
         file_name().alias("source_file"),
         F.struct(
             F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("row")
@@ -104,13 +105,13 @@ def read_element(spark: SparkSession, path: str, element: str) -> DataFrame:
     )
 
 
-def unreadable_files(spark: SparkSession, path: str, root: str = ROOT) -> DataFrame:
+def unreadable_files(spark: SparkSession, path: str, root: str = ROOT, names: str = DOCUMENTS) -> DataFrame:
     """Paths of the files whose root element is not well formed to its end, each once.
 
     Only the root's own attributes are kept, so a file passes through its task as a stream.
     The reader refuses a query over the corrupt column alone, hence the second count.
     """
-    documents = _read(spark, path, root, StructType().add("_id", "string"))
+    documents = _read(spark, path, root, StructType().add("_id", "string"), names)
     per_file = documents.groupBy(F.col("_metadata.file_path").alias("bad_path")).agg(
         F.count_if(F.col(CORRUPT).isNotNull()).alias("_corrupt"),
         F.count("_id").alias("_with_id"),
@@ -131,16 +132,18 @@ def complete_rows(rows: DataFrame) -> DataFrame:
 
 
 def read_documents(
-    spark: SparkSession, path: str, element: str, bad_files: DataFrame | None = None
+    spark: SparkSession, path: str, element: str, bad_files: DataFrame | None = None, names: str = DOCUMENTS
 ) -> DataFrame:
-    """Every ``element`` of every readable file below ``path``.
+    """Every ``element`` of every readable file below ``path`` whose name is like ``names``.
+
+    Compressed files (``*.xml.gz``) are read as a stream, each by one task.
 
     The list of bad files comes from a map-side aggregate and is counted before it is
     broadcast; no task ever holds the rows of a whole file. Pass it in when several
     elements are read from one folder.
     """
-    bad = unreadable_files(spark, path) if bad_files is None else bad_files
-    rows = complete_rows(read_element(spark, path, element))
+    bad = unreadable_files(spark, path, names=names) if bad_files is None else bad_files
+    rows = complete_rows(read_element(spark, path, element, names))
     rows = rows.withColumn("_path", F.col("position.path"))
     return lookup_join(rows, bad, {"_path": "bad_path"}, "left_anti").drop("_path")
 
