@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -197,3 +199,14 @@ def test_a_leaking_split_stops_the_run(spark):
         modelling.require_split(modelling.split_summary(rows, rows.filter("segment_key = 'a'")))
     kept = modelling.require_split(modelling.split_summary(rows, rows.filter("segment_key = 'c'")))
     assert kept.first()["training_records"] == 2
+
+
+def test_rows_are_kept_once_and_compressed(signal, tmp_path):
+    prepared = modelling.prepare(signal, str(tmp_path))
+    [kept] = Path(prepared.folder).iterdir()
+    assert [f for f in kept.iterdir() if f.name.startswith("part-")]
+    assert all(f.name.endswith(".parquet") for f in kept.iterdir() if f.name.startswith("part-"))
+    assert prepared.train.count() + prepared.test.count() == modelling.modelling_rows(signal).count()
+    assert prepared.train.first()["features"].size == len(modelling.feature_names(prepared.train))
+    prepared.release()
+    assert not Path(prepared.folder).exists()

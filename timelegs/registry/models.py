@@ -191,7 +191,7 @@ def split_summary(net):
 @query("model_comparison")
 def model_comparison(net):
     """The four regressors trained and ranked; the rows hold wall times, so SQL cannot repeat them."""
-    data = modelling.prepare(net.enriched_table)
+    data = modelling.prepare(net.whole_enriched)
     try:
         return modelling.compare_models(data).results
     finally:
@@ -204,7 +204,7 @@ def decision_tree_scores(net) -> DataFrame:
     held = []
 
     def build() -> DataFrame:
-        data = modelling.prepare(net.enriched_table)
+        data = modelling.prepare(net.whole_enriched)
         held.append(data)
         tree = next(c for c in modelling.candidates() if c.name == "Decision Tree")
         return modelling.score(tree.estimator.fit(data.train), data)
@@ -258,7 +258,7 @@ def residual_rows(net):
 
 @query("feature_importance")
 def feature_importance(net):
-    data = modelling.prepare(net.enriched_table)
+    data = modelling.prepare(net.whole_enriched)
     try:
         tree = next(c for c in modelling.candidates() if c.name == "Decision Tree")
         model = tree.estimator.fit(data.train)
