@@ -201,12 +201,11 @@ def test_a_leaking_split_stops_the_run(spark):
     assert kept.first()["training_records"] == 2
 
 
-def test_rows_are_kept_once_and_compressed(signal, tmp_path):
+def test_rows_are_kept_once_and_vectors_not_at_all(signal, tmp_path):
     prepared = modelling.prepare(signal, str(tmp_path))
-    [kept] = Path(prepared.folder).iterdir()
-    assert [f for f in kept.iterdir() if f.name.startswith("part-")]
-    assert all(f.name.endswith(".parquet") for f in kept.iterdir() if f.name.startswith("part-"))
+    [kept] = Path(prepared.folder).glob("*/rdd-*")
+    assert not prepared.train.is_cached and not prepared.test.is_cached
     assert prepared.train.count() + prepared.test.count() == modelling.modelling_rows(signal).count()
     assert prepared.train.first()["features"].size == len(modelling.feature_names(prepared.train))
     prepared.release()
-    assert not Path(prepared.folder).exists()
+    assert not kept.exists()

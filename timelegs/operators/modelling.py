@@ -22,6 +22,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from timelegs.functions import measures
 from timelegs.operators.quality import require_columns
@@ -213,16 +214,26 @@ def fixed_layout(df: DataFrame) -> DataFrame:
     )
 
 
-def keep_for_reuse(df: DataFrame, folder: str) -> DataFrame:
-    """Rows that many jobs read, written to a shared folder as a table and read back.
+def keep_for_reuse(df: DataFrame, folder: str, hold: bool = True) -> DataFrame:
+    """Rows that many jobs read, written to a shared folder.
 
-    A lost executor then costs a re-read of its partitions, not the whole lineage again. A table is
-    compressed by column; a checkpoint would hold the rows as they are in memory. The rows are made
-    once and not held: the memory is for the learners, which hold a form of their own.
+    A lost executor then costs a re-read of its partitions, not the whole lineage again. A
+    checkpoint makes its rows twice, to count and to write them, so they are held until they are
+    written, and no longer: the memory is for the learners, which hold a form of their own. Rows
+    held straight after a shuffle would lie in all its partitions, however small; ``hold`` is not
+    for those.
     """
-    path = f"{folder}/rows-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    context = df.sparkSession.sparkContext
+    before = context.getCheckpointDir() or shared_folder(df.sparkSession)
+    context.setCheckpointDir(folder)
+    if hold:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint()
+    finally:
+        context.setCheckpointDir(before)  # what the session checkpoints later goes where it went before
+        if hold:
+            df.unpersist()
 
 
 def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
@@ -232,7 +243,8 @@ def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
     counts them all the same, and ``require_split`` stops a run where it finds any.
 
     The rows are kept once, as they are before the encoding, in ``folder``, by default a new one in
-    the session's shared folder. Vectors are made from them whenever they are read.
+    the session's shared folder. Vectors are made from them whenever they are read; the columns that
+    the encoder learns from are held meanwhile.
     """
     spark = enriched.sparkSession
     folder = f"{folder or shared_folder(spark)}/training-{uuid.uuid4().hex}"
@@ -240,9 +252,15 @@ def prepare(enriched: DataFrame, folder: str | None = None) -> PreparedData:
     require_columns(enriched, sorted(needed), "enriched segments")
     columns = list(dict.fromkeys([*PREDICTION_IDENTIFIERS, *sorted(needed), "label"]))
     known = modelling_rows(enriched).select(*columns).fillna(GAP_VALUE, NUMERIC_FEATURES)
-    train, test = split_rows(keep_for_reuse(fixed_layout(known), folder))
-    require_few_categories(train)
-    encoder = feature_stages().fit(train)
+    rows = keep_for_reuse(fixed_layout(known), folder, hold=False)
+    categories = rows.select("segment_key", *CATEGORICAL_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        learnt_from, _ = split_rows(categories)
+        require_few_categories(learnt_from)
+        encoder = feature_stages().fit(learnt_from)
+    finally:
+        categories.unpersist()
+    train, test = split_rows(rows)
     kept = [*PREDICTION_IDENTIFIERS, "label", "features"]
     return PreparedData(encoder.transform(train).select(*kept), encoder.transform(test).select(*kept), encoder, folder)
 
